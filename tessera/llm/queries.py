@@ -6,12 +6,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import near
+from . import langid, mixture, near, packing, vectors
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_mix_sources": mixture.op1_mix_sources,
     "op3_minhash_near_dedup": near.op3_minhash_near_dedup,
+    "op4_exact_top_k": vectors.op4_exact_top_k,
+    "op5_best_fit_packing": packing.op5_best_fit_packing,
+    "op8_embedding_near_dedup": vectors.op8_embedding_near_dedup,
+    "op10_language_id": langid.op10_language_id,
 }
 
 ORACLES: dict[str, str] = {
+    "op1_mix_sources": mixture.ORACLE_OP1,
     "op3_minhash_near_dedup": near.ORACLE_OP3,
+    "op4_exact_top_k": vectors.ORACLE_OP4,
+    "op8_embedding_near_dedup": vectors.ORACLE_OP8,
 }

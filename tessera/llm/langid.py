@@ -17,6 +17,8 @@ SAMPLE, BUCKETS, DIM, EPOCHS = 400, 1 << 15, 16, 8
 GRAMS = (2, 3, 4)
 #: Share of correctly labelled calibration texts that rejection may cost, and the highest threshold it may set.
 REJECT, REJECT_MOST = 0.001, 0.5
+#: Loss that calibration gives up to keep scores apart.
+SLACK = 0.01
 #: ASCII other than letters becomes a space, A-Z becomes a-z.
 LETTERS = bytes(c if c > 127 or 97 <= c <= 122 else c + 32 if 65 <= c <= 90 else 32 for c in range(256))
 
@@ -121,9 +123,10 @@ def fit(rows: list[tuple[str, np.ndarray, np.ndarray]], epochs: int = EPOCHS, se
     model = Model(langs, (e @ w.T).astype(np.float32), bias)
     logits = np.array([share @ model.table[idx] + bias for _, idx, share in held])
     y = np.array([at[lang] for lang, _, _ in held])
-    scales = [2.0**k for k in range(-6, 4)]
+    scales = [2.0**k for k in range(-16, 4)]
     loss = [-np.log(np.maximum(softmax(logits * s)[np.arange(len(y)), y], 1e-12)).mean() for s in scales]
-    model.scale = scales[int(np.argmin(loss))]
+    # where all are right, ever larger scales gain ever less: the smallest that is nearly as good keeps scores apart
+    model.scale = next(s for s, x in zip(scales, loss, strict=True) if x <= min(loss) + SLACK)
     p = softmax(logits * model.scale)
     right = np.sort(p.max(axis=1)[p.argmax(axis=1) == y])
     model.reject = float(min(REJECT_MOST, right[math.floor(REJECT * len(right))])) if len(right) else 0.0

@@ -7,7 +7,10 @@ from pyspark.sql import functions as F
 from ..functions import num, seq, text as X
 from ..registry import query, sql_query
 
-_EN = F.lit("en")
+
+def _en():
+    return F.lit("en")
+
 
 
 @query("x01_clean_transcript", r"SELECT event_id, event_type || ' said it' AS text FROM {events}")
@@ -18,7 +21,7 @@ def x01(t):
 
 @query("x02_normalize_text", r"SELECT doc_id, array_to_string(regexp_extract_all(lower(text), '[a-z0-9'']+'), ' ') AS text FROM {documents}")
 def x02(t):
-    return t["documents"].select("doc_id", X.normalized(F.col("text"), _EN).alias("text"))
+    return t["documents"].select("doc_id", X.normalized(F.col("text"), _en()).alias("text"))
 
 
 @query("x02_normalize_text_zh", r"SELECT doc_id, regexp_replace(lower(text), '[^\p{L}\p{N}]', '', 'g') AS text FROM {documents}")
@@ -28,12 +31,12 @@ def x02_zh(t):
 
 @query("x03_text_units", r"SELECT doc_id, len(regexp_extract_all(text, '[A-Za-z0-9'']+'))::INTEGER AS units FROM {documents}")
 def x03(t):
-    return t["documents"].select("doc_id", X.text_units(F.col("text"), _EN).alias("units"))
+    return t["documents"].select("doc_id", X.text_units(F.col("text"), _en()).alias("units"))
 
 
 @query("x04_eval_normalize", r"SELECT doc_id, array_to_string(regexp_extract_all(lower(text), '[a-z0-9]+'), ' ') AS en FROM {documents}")
 def x04(t):
-    return t["documents"].select("doc_id", X.eval_normalized(F.col("text"), _EN).alias("en"))
+    return t["documents"].select("doc_id", X.eval_normalized(F.col("text"), _en()).alias("en"))
 
 
 @query(
@@ -49,7 +52,7 @@ def x05(t):
 
 @query("x05_word_error_rate")
 def x05_words(t):
-    return t["pair_text"].select("conv_id", "turn", F.round(X.error_rate(F.col("reference"), F.col("hypothesis"), _EN), 6).alias("err"))
+    return t["pair_text"].select("conv_id", "turn", F.round(X.error_rate(F.col("reference"), F.col("hypothesis"), _en()), 6).alias("err"))
 
 
 @query(
@@ -70,7 +73,7 @@ r AS (SELECT conv_id, turn, n, count(*) // n + 1 AS rep FROM e GROUP BY conv_id,
 SELECT z.conv_id, z.turn, CASE WHEN size < 4 THEN 1 ELSE coalesce(max(rep), 1) END::INTEGER AS repeats FROM z LEFT JOIN r USING (conv_id, turn) GROUP BY z.conv_id, z.turn, size""",
 )
 def x07(t):
-    w = X.tokens(F.col("reference"), _EN)
+    w = X.tokens(F.col("reference"), _en())
     return t["pair_text"].select("conv_id", "turn", w.alias("w")).where("size(w) > 0").select("conv_id", "turn", seq.max_ngram_repeat(F.col("w")).alias("repeats"))
 
 
@@ -80,7 +83,7 @@ def x07(t):
 )
 def x09(t):
     a, b = X.nonempty(F.col("reference")), X.nonempty(F.col("hypothesis"))
-    same = F.when(a.isNotNull() & b.isNotNull(), (X.normalized(a, _EN) == X.normalized(b, _EN)).cast("int"))
+    same = F.when(a.isNotNull() & b.isNotNull(), (X.normalized(a, _en()) == X.normalized(b, _en())).cast("int"))
     return t["pair_text"].select("conv_id", "turn", same.alias("same"))
 
 

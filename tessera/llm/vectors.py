@@ -88,15 +88,15 @@ def search_chunk(best: Best, q_ids, q, q_features, ids, x) -> None:
 def top_k(queries: DataFrame, candidates: DataFrame, k: int = 5) -> DataFrame:
     """(query_id, rank, vec_id, score): for each query the k best candidates by integer inner product, exactly.
 
-    Both tables have vec_id and ints (array<long>; |ints| < 2^31, scores within 64 bits). Rows with null ints take no part.
+    Both tables have vec_id and ints (array<long>; |ints| < 2^31, scores within 64 bits). Rows with null ints or vec_id take no part.
     A candidate with the query's own vec_id isn't one of its candidates; only vectors of the same length are compared; ties go to
     the smaller vec_id; repeated rows are candidates each; a query id that occurs twice counts once. Empty tables give an empty one.
     Queries go in blocks of about QUERY_BLOCK: each is sent to the workers that scan all candidates once.
     """
     spark = prepare(candidates.sparkSession)
     scratch = Scratch(spark)
-    queries = queries.where("ints is not null").groupBy("vec_id").agg(F.min("ints").alias("ints"))
-    candidates = candidates.where("ints is not null").select("vec_id", "ints")
+    queries = queries.where("ints is not null and vec_id is not null").groupBy("vec_id").agg(F.min("ints").alias("ints"))
+    candidates = candidates.where("ints is not null and vec_id is not null").select("vec_id", "ints")
     blocks = max(1, math.ceil(queries.count() / QUERY_BLOCK))
     out = None
     for block in range(blocks):
@@ -265,14 +265,14 @@ def near_vectors(rows: DataFrame, threshold: float = 0.9, codewords: int = CODEW
     large group of copies costs as one vector; a filter's vectors are compared in cells of two blocks of about CELL. A pair with the
     threshold's cosine is missed when no filter holds both: under 0.01 in the tests, and measured in the README.
     Null, zero, empty and partly null or non-finite vectors link with nothing, nor do vectors of different lengths.
-    Repeated rows link with each other; an empty table gives an empty table.
+    Repeated rows link with each other; a row without vec_id counts among its equals but is never kept; an empty table gives an empty table.
     """
     spark = prepare(rows.sparkSession)
     scratch = Scratch(spark)
     rows = rows.select(F.col("vec_id").cast("long").alias("vec_id"), F.expr(f"case when {WHOLE} and exists(embedding, x -> x <> 0) then embedding end").alias("embedding"))
     classes = scratch.save(rows.where("embedding is not null").groupBy("embedding").agg(F.min("vec_id").alias("node"), F.count("*").alias("mult")), "classes")
     member = rows.join(classes, "embedding", "left").select("vec_id", "node", "mult")
-    hits = scratch.save(classes.select("node", F.col("embedding").cast("array<double>"), "mult").mapInArrow(_filters(codewords, cap), "filter long, node long, mult long, vec binary, codes binary"), "filters")
+    hits = scratch.save(classes.where("node is not null").select("node", F.col("embedding").cast("array<double>"), "mult").mapInArrow(_filters(codewords, cap), "filter long, node long, mult long, vec binary, codes binary"), "filters")
     sizes = hits.groupBy("filter").agg(F.count("*").alias("n")).where("n > 1")
     cells = (
         hits.join(sizes, "filter")
@@ -286,7 +286,7 @@ def near_vectors(rows: DataFrame, threshold: float = 0.9, codewords: int = CODEW
     counts = found.where("v is null").groupBy("u").agg(F.sum("n").alias("far"))
     comp = scratch.save(components(scratch, found.where("v is not null").select("u", "v")), "components")
     out = member.join(counts, member.node == counts.u, "left").join(comp, "node", "left")
-    return out.select("vec_id", F.expr("coalesce(far, 0L) + coalesce(mult - 1, 0L)").alias("n_links"), F.coalesce("component", "node", "vec_id").alias("component_id")).withColumn("kept", F.col("vec_id") == F.col("component_id"))
+    return out.select("vec_id", F.expr("coalesce(far, 0L) + coalesce(mult - 1, 0L)").alias("n_links"), F.coalesce("component", "node", "vec_id").alias("component_id")).withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)))
 
 
 def op8_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

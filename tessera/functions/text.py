@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import unicodedata
+
+import pandas as pd
 from pyspark.sql import Column, functions as F
 
 HAN = "[\\u4e00-\\u9fff]"
@@ -104,10 +107,6 @@ def clean_transcript(c: Column) -> Column:
 
 def nfkc(c: Column) -> Column:
     """Compatibility composition; neither engine has it built in."""
-    import unicodedata
-
-    import pandas as pd
-
     @F.pandas_udf("string")
     def run(s: pd.Series) -> pd.Series:
         return s.map(lambda x: None if x is None else unicodedata.normalize("NFKC", x))

@@ -278,6 +278,33 @@ def q04(t: Inputs) -> DataFrame:
     return judge(rows, "A").select("conv_id", "turn", F.array_join("flags", "|").alias("flags"), F.round("tgt_asr_score", 6).alias("tgt_asr_score"))
 
 
+def _heard(t: Inputs) -> DataFrame:
+    """Conversation turns as texts with a transcript that repeats itself now and then."""
+    again = "array_join(array_repeat(split_part(hypothesis, ' ', 1), CAST(turn % 6 AS INT)), ' ')"
+    rows = t["pair_text"].selectExpr("conv_id", "turn", "reference as reference_text", "reference as target_text", "'r' as reference_audio", "'t' as target_audio", "true as ref_load_ok", "true as tgt_load_ok", "30D as ref_duration_sec", "5D as tgt_duration_sec", "turn % 2 * 0.05D as tgt_trailing_silence_sec", "0.5D as tgt_tail_rms_ratio", "reference as ref_asr_text", f"concat({again}, ' ', hypothesis) as tgt_asr_text")
+    return judge(rows, "A")
+
+
+def _only(t: Inputs, flags: tuple[str, ...]) -> DataFrame:
+    return _heard(t).select("conv_id", "turn", F.array_join(F.filter("flags", lambda f: f.isin(*flags)), "|").alias("flags"))
+
+
+@query("q06_repetition")
+def q06(t: Inputs) -> DataFrame:
+    return _only(t, ("tgt_asr_stutter_suspect", "tgt_asr_loop_suspect"))
+
+
+@query("q07_truncation")
+def q07(t: Inputs) -> DataFrame:
+    return _only(t, ("ref_truncation_suspect", "tgt_truncation_suspect"))
+
+
+@query("x08_repetition_against_expected")
+def x08(t: Inputs) -> DataFrame:
+    rows = t["pair_text"].select("conv_id", "turn", X.tokens(F.col("reference"), F.lit("en")).alias("e"), X.tokens(F.concat_ws(" ", "hypothesis", "hypothesis", "hypothesis"), F.lit("en")).alias("h"))
+    return rows.select("conv_id", "turn", seq.max_run(F.col("h")).alias("run"), (seq.max_ngram_repeat(F.col("h")) > seq.max_ngram_repeat(F.col("e"))).alias("loops"))
+
+
 @query("q08_semantic_flags", f"SELECT source_row_index, array_to_string(list_filter(string_split(flags, '|'), lambda x: x LIKE 'semantic%'), '|') AS flags FROM ({_duck('D')})")
 def q08(t: Inputs) -> DataFrame:
     return judged(t, "D").select("source_row_index", F.array_join("semantic_flags", "|").alias("flags"))

@@ -31,7 +31,7 @@ def read_audio(spark: SparkSession, path: str) -> DataFrame:
                     x, rate = decode(bytes(data))
                     rows.append((p, x.tolist(), rate, None))
                 except Exception as e:
-                    rows.append((p, None, None, str(e)))
+                    rows.append((p, None, None, f"{type(e).__name__}: {e}"))
             yield pd.DataFrame(rows, columns=["path", "samples", "rate", "error"])
 
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path", "content")
@@ -69,6 +69,17 @@ def prosody(x: np.ndarray, rate: int, points: int = 50) -> dict:
     return {"duration_sec": len(x) / rate, "energy": contour.tolist(), "pause_ratio": float((contour < 0.1).mean()), "f0": None}
 
 
+def prosody_features(signals: DataFrame, rate: int) -> DataFrame:
+    """(id, duration_sec, energy, pause_ratio) of signals (id, samples)."""
+
+    def work(frames):
+        for pdf in frames:
+            found = [prosody(np.asarray(x, float), rate) for x in pdf["samples"]]
+            yield pd.DataFrame({"id": pdf["id"], "duration_sec": [f["duration_sec"] for f in found], "energy": [f["energy"] for f in found], "pause_ratio": [f["pause_ratio"] for f in found]})
+
+    return signals.select("id", "samples").mapInPandas(work, "id long, duration_sec double, energy array<double>, pause_ratio double")
+
+
 def clusters(similarity: np.ndarray, threshold: float) -> list[list[int]]:
     """Average-link clusters: the two closest are joined while their mean similarity is at or above the threshold; by size, then first member."""
     groups = [[i] for i in range(len(similarity))]

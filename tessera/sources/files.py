@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -138,6 +139,36 @@ def publish(staged: str, final: str, expected: int, spark: SparkSession) -> bool
     return bool(fs.rename(path(staged), path(final)))
 
 
+def load_or_build(spark: SparkSession, path: str, build, force: bool = False) -> DataFrame:
+    """A Parquet index, built by build() where it is missing or force is set."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    if force or not at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at):
+        build().write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
+def write_json(spark: SparkSession, path: str, document: dict) -> None:
+    """One document, keys sorted, as a file of its own in a folder."""
+    spark.createDataFrame([(json.dumps(document, ensure_ascii=False, sort_keys=True),)], "value string").coalesce(1).write.mode("overwrite").text(path)
+
+
+def read_json(spark: SparkSession, path: str) -> dict:
+    return json.loads("\n".join(r[0] for r in spark.read.text(path, wholetext=True).collect()))
+
+
+def first_column(df: DataFrame, names: tuple[str, ...]) -> str:
+    """The first of the names that the table has; ValueError if it has none."""
+    found = next((n for n in names if n in df.columns), None)
+    if found is None:
+        raise ValueError(f"none of {', '.join(names)} in {', '.join(df.columns)}")
+    return found
+
+
+def without_private(df: DataFrame) -> DataFrame:
+    """df without columns whose name starts with an underscore."""
+    return df.drop(*[c for c in df.columns if c.startswith("_")])
+
+
 def _place(spark: SparkSession, name: str) -> str:
     root = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_shared"
     return f"{root.rstrip('/')}/tessera-files-{uuid.uuid4().hex}/{name}"
@@ -283,3 +314,25 @@ def s27(t: Inputs) -> DataFrame:
 
 
 sql_query("s05_atomic_replace", "SELECT doc_id, quality FROM {labels}")
+
+
+@query("s16_audio_index", "SELECT DISTINCT regexp_extract(source, '([0-9]+)$', 1)::BIGINT AS idx, '/a/b_' || source || '.wav' AS path FROM {documents} WHERE source <> 'src3' UNION ALL SELECT 3::BIGINT AS idx, '/a/src3.wav' AS path")
+def s16(t: Inputs) -> DataFrame:
+    d = t["documents"].select("source").distinct()
+    paths = d.select(F.concat(F.lit("/a/"), "source", F.lit(".wav")).alias("path")).unionByName(d.where("source <> 'src3'").select(F.concat(F.lit("/a/b_"), "source", F.lit(".wav")).alias("path")))
+    return audio_index(paths, [r"b_src(\d+)", r"/src(\d+)"])
+
+
+@query("v04_item_clusters")
+def v04(t: Inputs) -> DataFrame:
+    from .audio import item_clusters
+
+    rows = t["embeddings"].selectExpr("vec_id div 8 as item", "vec_id as idx", "cast(embedding as array<double>) as v")
+    return item_clusters(rows, "item", "idx", "v", 0.1)
+
+
+@query("v12_prosody_features")
+def v12(t: Inputs) -> DataFrame:
+    from .audio import prosody_features
+
+    return prosody_features(t["embeddings"].selectExpr("vec_id as id", "cast(embedding as array<double>) as samples"), 100)

@@ -15,8 +15,9 @@ from .runtime import Scratch, prepare, table
 QUERY_BLOCK = 4096
 #: Numbers of segments, coarse to fine.
 LEVELS = (4, 16)
-#: Codewords of each half of the product code, the cap's distance from the origin in standard deviations, rows of a block.
-CODEWORDS, CAP, CELL = 96, 2.8, 1024
+#: Codewords of each half of the product code, the cap's distance from the origin in standard deviations, least number of filters of a
+#: vector, rows of a block.
+CODEWORDS, CAP, LEAST, CELL = 96, 2.8, 24, 1024
 
 WHOLE = "embedding is not null and size(embedding) > 0 and not exists(embedding, x -> x is null or isnan(x) or abs(x) = double('infinity'))"
 
@@ -166,9 +167,9 @@ def codebook(n: int, codewords: int) -> list[np.ndarray]:
     return out
 
 
-def decode(x: np.ndarray, books: list[np.ndarray], cap: float) -> list[np.ndarray]:
-    """For each unit row of x the numbers of all filters whose direction it exceeds by the cap, ascending; the best one at least.
-    Codewords of the first half that can't reach the cap with the best of the second are left out before pairs are formed."""
+def decode(x: np.ndarray, books: list[np.ndarray], cap: float, least: int = LEAST) -> list[np.ndarray]:
+    """For each unit row of x the numbers of all filters whose direction it exceeds by the cap, ascending; the `least` best ones at least,
+    since halves of unequal length leave some vectors with few. Codewords of the first half that can't reach the cap with the best of the second are left out before pairs are formed."""
     n = x.shape[1]
     level = cap / math.sqrt(n)
     cut = books[0].shape[1]
@@ -181,7 +182,10 @@ def decode(x: np.ndarray, books: list[np.ndarray], cap: float) -> list[np.ndarra
         a = np.flatnonzero(first[i] + best[i] >= level)
         hits = np.argwhere(first[i, a][:, None] + second[i][None, :] >= level)
         codes = a[hits[:, 0]] * m + hits[:, 1]
-        out.append(np.sort(codes) if len(codes) else np.array([first[i].argmax() * m + second[i].argmax()]))
+        if len(codes) < least:
+            every = (first[i][:, None] + second[i][None, :]).ravel()
+            codes = np.lexsort((np.arange(len(every)), -every))[:least] if len(every) <= least else np.argpartition(-every, least)[:least]
+        out.append(np.sort(codes))
     return out
 
 
@@ -263,7 +267,7 @@ def near_vectors(rows: DataFrame, threshold: float = 0.9, codewords: int = CODEW
 
     Vectors that share a spherical-cap filter are compared by cosine in double precision. Equal vectors form one class with a count, so a
     large group of copies costs as one vector; a filter's vectors are compared in cells of two blocks of about CELL. A pair with the
-    threshold's cosine is missed when no filter holds both: under 0.01 in the tests, and measured in the README.
+    threshold's cosine is missed when no filter holds both; the README has the recall by brute force.
     Null, zero, empty and partly null or non-finite vectors link with nothing, nor do vectors of different lengths.
     Repeated rows link with each other; a row without vec_id counts among its equals but is never kept; an empty table gives an empty table.
     """

@@ -99,6 +99,17 @@ def test_decode_lists_all_filters_over_the_cap():
     x /= np.linalg.norm(x, axis=1, keepdims=True)
     books = vectors.codebook(20, 12)
     all_ = np.array([[np.concatenate([a, b]) @ v for a in books[0] for b in books[1]] for v in x])
-    for v, codes in zip(all_, vectors.decode(x, books, 1.5), strict=True):
+    for v, codes in zip(all_, vectors.decode(x, books, 1.5, 5), strict=True):
         expected = np.flatnonzero(v >= 1.5 / np.sqrt(20))
-        assert (codes == (expected if len(expected) else [v.argmax()])).all()
+        assert (codes == (expected if len(expected) >= 5 else np.sort(np.argsort(-v)[:5]))).all()
+
+
+def test_recall_at_the_threshold():
+    rng = np.random.default_rng(8)
+    x, z = rng.standard_normal((2, 1500, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    z -= (z * x).sum(axis=1, keepdims=True) * x
+    z /= np.linalg.norm(z, axis=1, keepdims=True)
+    books = vectors.codebook(64, vectors.CODEWORDS)
+    a, b = (vectors.decode(v, books, vectors.CAP) for v in (x, 0.9 * x + np.sqrt(1 - 0.81) * z))
+    assert np.mean([len(np.intersect1d(p, q)) > 0 for p, q in zip(a, b, strict=True)]) >= 0.99

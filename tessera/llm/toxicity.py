@@ -12,8 +12,8 @@ from .words import chunks, word_hashes
 
 #: Labelled documents used for training, in expectation; words that become features; folds; strength of the penalty.
 SAMPLE, FEATURES, FOLDS, PENALTY = 6000, 256, 4, 1.0
-#: Newton steps of a fit.
-STEPS = 8
+#: Newton steps of a fit; chi square that a word must reach to become a feature; weight of recall against precision in choosing thresholds.
+STEPS, CHI, BETA = 8, 15.0, 0.5
 #: The categories in the order of the chain: a document of low quality, a toxic one, and one that is both.
 CHAIN = ("low_quality", "toxic", "toxic_low_quality")
 _UPPER = bytes(1 if 65 <= c <= 90 else 0 for c in range(256))
@@ -50,7 +50,7 @@ def logistic(x: np.ndarray, y: np.ndarray, penalty: float = PENALTY) -> np.ndarr
 
 
 def informative(sets: list[np.ndarray], y: np.ndarray, most: int) -> np.ndarray:
-    """Hashes of the words, in three documents or more, whose presence differs most between y = 1 and y = 0 by chi square; sorted."""
+    """Hashes of the words, in three documents or more, whose presence differs most, and by CHI at least, between y = 1 and y = 0; sorted."""
     if not sets:
         return np.zeros(0, np.uint64)
     words, at = np.unique(np.concatenate(sets), return_inverse=True)
@@ -62,7 +62,7 @@ def informative(sets: list[np.ndarray], y: np.ndarray, most: int) -> np.ndarray:
     chi = (hit - expected) ** 2 * total**2 / np.maximum(n * (total - n) * 1.0 * max(pos, 1) * max(total - pos, 1) / total, 1e-9)
     chi[n < 3] = 0
     best = np.lexsort((words, -chi))[:most]
-    return np.sort(words[best[chi[best] > 0]])
+    return np.sort(words[best[chi[best] >= CHI]])
 
 
 class Chain:
@@ -92,14 +92,14 @@ class Chain:
 
 
 def best_cut(p: np.ndarray, y: np.ndarray) -> float:
-    """The threshold on p with the best F1 against y, halfway to the next smaller value; 0.5 if y has no positive."""
+    """The threshold on p with the best F measure (BETA) against y, halfway to the next smaller value; 0.5 if y has no positive."""
     if not y.any():
         return 0.5
     order = np.argsort(-p, kind="stable")
     hits = np.cumsum(y[order])
-    f1 = 2 * hits / (np.arange(1, len(y) + 1) + y.sum())
+    f = (1 + BETA**2) * hits / (np.arange(1, len(y) + 1) + BETA**2 * y.sum())
     last = np.append(p[order][:-1] != p[order][1:], True)
-    at = int(np.argmax(np.where(last, f1, 0)))
+    at = int(np.argmax(np.where(last, f, 0)))
     return float((p[order][at] + (p[order][at + 1] if at + 1 < len(p) else 0)) / 2)
 
 

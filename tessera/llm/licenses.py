@@ -173,7 +173,7 @@ def rules() -> tuple[Rule, ...]:
         out.append(Rule(f"cc-{part}", 5, 0.7, "creative commons", rf"creative commons {words}(?: licen[sc]e)?"))
     out.append(Rule("cc0-1", 2, 0.9, "cc0", r"cc0(?: 1(?: 0)?)?(?: universal)?"))
     out.append(Rule("cc", 7, 0.4, "creative commons", r"creative commons(?: licen[sc]e)?"))
-    out.append(Rule("unknown", 8, 0.3, "licen", r"(?:licensed|released|distributed) under (?:the )?(?:terms of (?:the )?)?(?:\S+ ){1,5}?licen[sc]e"))
+    out.append(Rule("unknown", 8, 0.3, "licen", r"(?:licensed|released|distributed) under (?:the )?(?:terms of (?:the )?)?(?P<own>(?:\S+ ){1,5}?licen[sc]e)"))
     out.append(Rule("unknown", 9, 0.2, "spdx", r"spdx license identifier \S+"))
     return tuple(out)
 

@@ -76,7 +76,7 @@ def shingles(h: np.ndarray, bounds: np.ndarray, k: int) -> tuple[np.ndarray, np.
     A text of fewer words has its whole sequence as one, at its first word."""
     n = len(h)
     out = np.zeros(n, np.uint64)
-    for j in range(k):
+    for j in range(min(k, n)):
         out[: n - j] = out[: n - j] * np.uint64(0xA0761D6478BD642F) + h[j:]
     end = np.repeat(bounds[1:], np.diff(bounds))
     fits = np.arange(n) + k <= end

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions.num import cosine
 from ..registry import ORACLES, QUERIES, Inputs, oracle, query, sql_query
-from .relational import drop_reasons, numbered
+from .relational import drop_reasons, numbered, ring_pick
 
 FORBIDDEN = "'unk'"
 
@@ -114,19 +114,38 @@ def c09(t: Inputs) -> DataFrame:
     last = t["joined"].groupBy("ref_audio", "edit_tag").agg(F.max("source_row_index").alias("idx"))
     a, b = (last.select("ref_audio", F.col("edit_tag").alias(f"tag_{s}"), F.col("idx").alias(f"{s}_idx")) for s in "ab")
     pairs = a.join(b, "ref_audio").join(F.broadcast(t["tag_pair"]), ["tag_a", "tag_b"])  # six allowed pairs of tags
-    pairs.createOrReplaceTempView("_genre_conv")
-    return t.spark.sql("SELECT ref_audio, tag_a, tag_b, a_idx AS reference_idx, b_idx AS target_idx, format_string('Genre_%06d', row_number() OVER (ORDER BY ref_audio, tag_a, tag_b) - 1) AS pair_id FROM _genre_conv")
+    # numbered within a reference, and references by what the ones before them hold: one ordered pass over references, not pairs
+    first = pairs.groupBy("ref_audio").agg(F.count("*").alias("n"))
+    first = first.select("ref_audio", F.coalesce(F.sum("n").over(Window.orderBy("ref_audio").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"))
+    own = F.row_number().over(Window.partitionBy("ref_audio").orderBy("tag_a", "tag_b")) - 1
+    pairs = pairs.withColumn("own", own).join(first, "ref_audio")
+    return pairs.select("ref_audio", "tag_a", "tag_b", F.col("a_idx").alias("reference_idx"), F.col("b_idx").alias("target_idx"), F.format_string("Genre_%06d", F.col("before") + F.col("own")).alias("pair_id"))
+
+
+def negatives(rows: DataFrame, key: str, seed: str, picks: int) -> DataFrame:
+    """rows with k and at_<column> for every column of a partner: `picks` times any other row, the same at every run."""
+    rows = numbered(rows, key, "r")
+    total = F.broadcast(rows.agg(F.count("*").alias("n")))  # one row
+    wide = rows.join(total)
+    chosen = [wide.withColumn("k", F.lit(k)).withColumn("at", ring_pick(wide, "r", F.col("n"), seed, key, k)) for k in range(picks)]
+    both = chosen[0]
+    for c in chosen[1:]:
+        both = both.unionByName(c)
+    return both.drop("n", "r").join(rows.select(*[F.col(c).alias(f"at_{c}") for c in rows.columns if c != "r"], F.col("r").alias("at")), "at").drop("at")
 
 
-sql_query(
+@query(
     "c12_pairs_H3",
     """WITH a AS (SELECT original_idx, ref_audio, row_number() OVER (ORDER BY original_idx) - 1 AS r, count(*) OVER () AS n FROM {base} WHERE coalesce(sim, 0) >= 0.5),
-k AS (SELECT a.*, k, (r + 1 + CAST(conv(substr(md5(concat_ws(':', '42', CAST(original_idx AS STRING), CAST(k AS STRING))), 1, 8), 16, 10) AS BIGINT) % (n - 1)) % n AS at FROM a LATERAL VIEW explode(array(0, 1)) x AS k)
-SELECT k.original_idx, k.k, k.ref_audio AS reference_audio, b.ref_audio AS target_audio, true AS is_negative FROM k JOIN a b ON b.r = k.at""",
-    """WITH a AS (SELECT original_idx, ref_audio, row_number() OVER (ORDER BY original_idx) - 1 AS r, count(*) OVER () AS n FROM {base} WHERE coalesce(sim, 0) >= 0.5),
 k AS (SELECT a.*, k, (r + 1 + ('0x' || substr(md5(concat_ws(':', '42', original_idx::VARCHAR, k::VARCHAR)), 1, 8))::BIGINT % (n - 1)) % n AS at FROM a, (VALUES (0), (1)) x(k))
 SELECT k.original_idx, k.k, k.ref_audio AS reference_audio, b.ref_audio AS target_audio, true AS is_negative FROM k JOIN a b ON b.r = k.at""",
 )
+def c12(t: Inputs) -> DataFrame:
+    anchors = t["base"].where("coalesce(sim, 0) >= 0.5").select("original_idx", "ref_audio")
+    out = negatives(anchors, "original_idx", "42", 2)
+    return out.select("original_idx", "k", F.col("ref_audio").alias("reference_audio"), F.col("at_ref_audio").alias("target_audio"), F.lit(True).alias("is_negative"))
+
+
 sql_query(
     "c13_pairs_I",
     """WITH r AS (SELECT user_id, max_by(event_type, event_id) AS st, max(event_id) AS target FROM {events} GROUP BY user_id)

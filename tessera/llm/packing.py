@@ -18,10 +18,15 @@ SALTS = 1024
 
 
 def plan(counts: list[int], length: int) -> list[tuple[tuple[int, ...], int]]:
+    """The plan with the fewest sequences among those that fill gaps by up to three, two or one pieces."""
+    return min((filled(counts, length, depth) for depth in (3, 2, 1)), key=lambda p: sum(n for _, n in p))
+
+
+def filled(counts: list[int], length: int, depth: int) -> list[tuple[tuple[int, ...], int]]:
     """Patterns (lengths of the pieces of a sequence) with how many sequences follow each, from the number of pieces of each length.
 
-    The longest pieces come first. The gap behind one is looked up among single lengths, sums of two and sums of three, under what
-    is still available, and each combination that fills it exactly is used as often as it can be. What is left goes, longest first,
+    The longest pieces come first. The gap behind one is looked up among single lengths, sums of two and sums of three (up to `depth`), under
+    what is still available, and each combination that fills it exactly is used as often as it can be. What is left goes, longest first,
     into the sequence with the smallest gap that holds it. Work depends on the distinct lengths only, never on the number of pieces.
     """
     left = np.array(counts, np.int64)
@@ -34,8 +39,12 @@ def plan(counts: list[int], length: int) -> list[tuple[tuple[int, ...], int]]:
         there = left > 0
         if gap <= length and there[gap]:
             yield (size, gap)
+        if depth < 2:
+            return
         for a in np.flatnonzero(there[(gap + 1) // 2 : gap] & there[gap // 2 : 0 : -1][: gap - (gap + 1) // 2])[::-1] + (gap + 1) // 2 if gap > 1 else ():
             yield (size, int(a), gap - int(a))
+        if depth < 3:
+            return
         sums = np.convolve(there.astype(np.float32), there.astype(np.float32))[: length + 1] > 0.5
         for a in np.flatnonzero(there[:gap] & sums[gap : 0 : -1])[::-1]:
             rest = gap - int(a)

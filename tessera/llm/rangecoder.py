@@ -26,7 +26,7 @@ HEAD = struct.Struct("<4sIIII")
 BLOCK = 2048
 _S1, _S2 = 10, 11  # bits of the tables of order 1 and 2
 _SLOTS, _REBUILD, _GAIN = 256, 64, 32
-_BOT = np.uint64(1 << 44)
+_BOT, _TOP = np.uint64(1 << 44), np.uint64(1 << 48)
 _U = np.uint64
 
 
@@ -39,7 +39,7 @@ def _tables() -> tuple[np.ndarray, np.ndarray]:
         w, at = d & 127, (d >> 7) + 16
         squash[i] = (points[at] * (128 - w) + points[min(at + 1, 32)] * w + 64) >> 7
     stretch = np.searchsorted(squash, np.arange(4096)).clip(1, 4095) - 2048
-    return stretch.astype(np.int64), squash
+    return stretch.astype(np.int32), squash.clip(1, 4090).astype(np.int32)
 
 
 _STRETCH, _SQUASH = _tables()
@@ -48,65 +48,51 @@ _STRETCH, _SQUASH = _tables()
 class _Model:
     def __init__(self, lanes: int):
         self.lane = np.arange(lanes)
-        self.c1, self.k1 = np.zeros(lanes << _S1, np.uint16), np.zeros(lanes << _S1, np.uint8)
-        self.c2, self.k2 = np.zeros(lanes << _S2, np.uint16), np.zeros(lanes << _S2, np.uint8)
+        self.t1, self.t2 = np.zeros(lanes << _S1, np.uint32), np.zeros(lanes << _S2, np.uint32)  # id, and confidence from bit 16 on
         self.p2, self.p1, self.p0 = (np.full(lanes * n, 1 << 14, np.int32) for n in (8, 16, 8))
         self.pb = np.full(lanes * 64, 1 << 14, np.int32)
-        self.w = [np.full(lanes, 26_000, np.int64) for _ in range(3)]
+        self.w = [np.full(lanes, 26_000, np.int32) for _ in range(3)]
         self.recent = np.zeros(lanes, np.int64)
         self.slot = np.zeros(lanes * _SLOTS, np.uint16)
         self.freq = np.ones((lanes, _SLOTS + 1), np.int32)
         self.freq[:, _SLOTS] = 64
         self.a, self.b = np.zeros(lanes, np.int64), np.zeros(lanes, np.int64)  # the last id and the one before
-        self.rebuild()
 
     def rebuild(self) -> None:
-        """Frequencies scaled to a total of 4096 with each at least 1."""
-        total = self.freq.sum(axis=1, dtype=np.int64)[:, None]
-        cum = np.zeros((len(self.freq), _SLOTS + 2), np.int64)
+        """Frequencies scaled to a total of 4096 with each at least 1; halved where they pass 16384."""
+        total = self.freq.sum(axis=1, dtype=np.int32)
+        cum = np.zeros((len(self.freq), _SLOTS + 2), np.int32)
         np.cumsum(self.freq, axis=1, out=cum[:, 1:])
         cum *= 4096 - _SLOTS - 1
-        cum //= total
-        cum += np.arange(_SLOTS + 2)
-        self.cum = cum.astype(np.uint64).reshape(-1)
-        many = total[:, 0] > 1 << 14
+        cum //= total[:, None]
+        cum += np.arange(_SLOTS + 2, dtype=np.int32)
+        self.cum = cum.reshape(-1)
+        many = np.flatnonzero(total > 1 << 14)
         self.freq[many] = (self.freq[many] + 1) >> 1
 
 
-def _emit(low, rng, out, at, n):
-    """Write words of the first n lanes until the range suffices again."""
-    todo = None
+def _shift(low, rng, n, words, at, code=None):
+    """Write words of the first n lanes until the range suffices again, or read as many where code is given."""
+    todo, lo, r = None, low[:n], rng[:n]
     while True:
-        lo, r = (low[:n], rng[:n]) if todo is None else (low[todo], rng[todo])
-        same = (lo ^ (lo + r)) >> _U(48) == 0
+        same = (lo ^ (lo + r)) < _TOP
         need = np.flatnonzero(same | (r < _BOT))
         if not len(need):
             return
-        cut = ~same[need]
-        lo, r = lo[need], r[need]
-        todo = need if todo is None else todo[need]
-        r = np.where(cut, (_U(0) - lo) & (_BOT - _U(1)), r)
-        out[todo, at[todo]] = (lo >> _U(48)).astype(np.uint16)
-        at[todo] += 1
-        low[todo], rng[todo] = lo << _U(16), r << _U(16)
-
-
-def _take(low, rng, code, words, at, n):
-    """The decoder's counterpart of _emit."""
-    todo = None
-    while True:
-        lo, r = (low[:n], rng[:n]) if todo is None else (low[todo], rng[todo])
-        same = (lo ^ (lo + r)) >> _U(48) == 0
-        need = np.flatnonzero(same | (r < _BOT))
-        if not len(need):
-            return
-        cut = ~same[need]
-        lo, r = lo[need], r[need]
-        todo = need if todo is None else todo[need]
-        r = np.where(cut, (_U(0) - lo) & (_BOT - _U(1)), r)
-        code[todo] = code[todo] << _U(16) | words[todo, at[todo]].astype(np.uint64)
-        at[todo] += 1
-        low[todo], rng[todo] = lo << _U(16), r << _U(16)
+        lo, r = lo.take(need), r.take(need)
+        cut = np.flatnonzero(~same.take(need))
+        if len(cut):
+            r[cut] = (_U(0) - lo[cut]) & (_BOT - _U(1))
+        todo = need if todo is None else todo.take(need)
+        here = at.take(todo)
+        place = here + todo * words.shape[1]
+        if code is None:
+            words.reshape(-1)[place] = lo >> _U(48)
+        else:
+            code[todo] = code.take(todo) << _U(16) | words.reshape(-1).take(place)
+        at[todo] = here + 1
+        lo, r = lo << _U(16), r << _U(16)
+        low[todo], rng[todo] = lo, r
 
 
 def _run(ids: np.ndarray, lengths: np.ndarray, words: np.ndarray, decode: bool) -> np.ndarray:
@@ -114,30 +100,36 @@ def _run(ids: np.ndarray, lengths: np.ndarray, words: np.ndarray, decode: bool)
     lanes, steps = ids.shape
     m = _Model(lanes)
     low, rng, at = np.zeros(lanes, np.uint64), np.full(lanes, 0xFFFFFFFFFFFFFFFF, np.uint64), np.zeros(lanes, np.int64)
+    code = None
     if decode:
         code = np.zeros(lanes, np.uint64)
         for i in range(4):
             code = code << _U(16) | words[:, i].astype(np.uint64)
         at[:] = 4
     columns = np.ascontiguousarray(ids.T)
+    base1, base2, base3, base4, base6 = (m.lane << n for n in (_S1, _S2, 3, 4, 6))
     for t in range(steps):
         n = int(np.searchsorted(-lengths, -t))  # lanes that have an id here
         if t % _REBUILD == 0:
             m.rebuild()
-        lane, a, b = m.lane[:n], m.a[:n], m.b[:n]
-        i1 = (lane << _S1) + ((a * 40503 & 0xFFFF) >> (16 - _S1))
-        i2 = (lane << _S2) + (((a * 40503 ^ b * 60493) * 52711 & 0xFFFF) >> (16 - _S2))
-        c1, k1, c2, k2 = m.c1[i1], m.k1[i1].astype(np.int64), m.c2[i2], m.k2[i2].astype(np.int64)
+        a, b = m.a[:n], m.b[:n]
+        mixed_a = a * 40503 & 0xFFFF
+        i1 = base1[:n] + (mixed_a >> (16 - _S1))
+        i2 = base2[:n] + (((mixed_a ^ b * 60493) * 52711 & 0xFFFF) >> (16 - _S2))
+        e1, e2 = m.t1.take(i1), m.t2.take(i2)
+        c1, c2, k1, k2 = e1.astype(np.uint16), e2.astype(np.uint16), (e1 >> np.uint32(16)).astype(np.int64), (e2 >> np.uint32(16)).astype(np.int64)
         agree = c1 == c2
-        j2, j1, j0, jb = (lane << 3) + k2, (lane << 4) + (k1 << 1) + agree, (lane << 3) + m.recent[:n], (lane << 6) + (k1 << 3) + k2
-        s2, s1, s0 = _STRETCH[m.p2[j2] >> 4], _STRETCH[m.p1[j1] >> 4], _STRETCH[m.p0[j0] >> 4]
+        j2, j1, j0, jb = base3[:n] + k2, base4[:n] + (k1 << 1) + agree, base3[:n] + m.recent[:n], base6[:n] + (k1 << 3) + k2
+        q2, q1, q0 = m.p2.take(j2), m.p1.take(j1), m.p0.take(j0)
+        s2, s1, s0 = _STRETCH.take(q2 >> 4), _STRETCH.take(q1 >> 4), _STRETCH.take(q0 >> 4)
         w2, w1, w0 = m.w[0][:n], m.w[1][:n], m.w[2][:n]
-        mixed = np.clip((w2 * s2 + w1 * s1 + w0 * s0) >> 16, -2047, 2047)
-        fa = np.clip(_SQUASH[mixed + 2048], 1, 4090)
-        fb = np.where(agree, 0, np.maximum((4096 - fa) * (m.pb[jb] >> 4) >> 12, 1))
-        fb = np.minimum(fb, 4095 - fa)
+        fa = _SQUASH.take(((w2 * s2 + w1 * s1 + w0 * s0) >> 16) + 2048, mode="clip")
+        qb = m.pb.take(jb)
+        fb = ((4096 - fa) * (qb >> 4) >> 12).clip(1)
+        fb *= ~agree
+        ua = fa.astype(np.uint64)
+        uab = ua + fb.astype(np.uint64)
         r = rng[:n] >> _U(12)
-        ua, uab = fa.astype(np.uint64), (fa + fb).astype(np.uint64)
         if decode:
             v = code[:n] - low[:n]
             hit2, hit = v < r * ua, v < r * uab
@@ -155,56 +147,58 @@ def _run(ids: np.ndarray, lengths: np.ndarray, words: np.ndarray, decode: bool)
         rest = np.flatnonzero(~hit)
         if len(rest):
             row, base = rest * (_SLOTS + 2), rest << 8
-            r = rng[rest] >> _U(12)
+            lo, r = low.take(rest), rng.take(rest) >> _U(12)
             if decode:
-                q = (code[rest] - low[rest]) // r
-                sym = np.zeros(len(rest), np.int64)
-                for step in (256, 128, 64, 32, 16, 8, 4, 2, 1):
+                here = code.take(rest)
+                q = ((here - lo) // r).astype(np.int32)
+                sym = np.where(m.cum.take(row + _SLOTS) <= q, _SLOTS, 0)
+                for step in (128, 64, 32, 16, 8, 4, 2, 1):
                     try_ = sym + step
-                    sym = np.where((try_ <= _SLOTS) & (m.cum[row + np.minimum(try_, _SLOTS)] <= q), try_, sym)
+                    sym = np.where(m.cum.take(row + try_, mode="clip") <= q, try_, sym) if step < 128 else np.where((sym == 0) & (m.cum.take(row + step) <= q), step, sym)
+                sym = sym.clip(0, _SLOTS)
                 miss = sym == _SLOTS
-                y = m.slot[base + np.minimum(sym, _SLOTS - 1)]
+                y = m.slot.take(base + np.minimum(sym, _SLOTS - 1))
             else:
-                y = x[rest]
+                y = x.take(rest)
                 s = ((y.astype(np.int64) * 40503) & 0xFFFF) >> 8
-                miss = m.slot[base + s] != y
+                miss = m.slot.take(base + s) != y
                 sym = np.where(miss, _SLOTS, s)
-            start = m.cum[row + sym]
-            low[rest] += r * start
-            rng[rest] = r * (m.cum[row + sym + 1] - start)
-            raw = rest[miss]
+            at_sym = row + sym
+            start = m.cum.take(at_sym)
+            size = (m.cum.take(at_sym + 1) - start).astype(np.uint64)
+            lo += r * start.astype(np.uint64)
+            r *= size
+            raw = np.flatnonzero(miss)
             if len(raw):
-                r = rng[raw] >> _U(16)
+                part = r.take(raw) >> _U(16)
                 if decode:
-                    y[miss] = ((code[raw] - low[raw]) // r).astype(np.uint16)
-                new = y[miss]
-                low[raw] += r * new.astype(np.uint64)
-                rng[raw] = r
-                m.slot[(raw << 8) + (((new.astype(np.int64) * 40503) & 0xFFFF) >> 8)] = new
+                    y[raw] = ((here.take(raw) - lo.take(raw)) // part).astype(np.uint16)
+                new = y.take(raw)
+                lo[raw] += part * new.astype(np.uint64)
+                r[raw] = part
+                m.slot[base.take(raw) + (((new.astype(np.int64) * 40503) & 0xFFFF) >> 8)] = new
+            low[rest], rng[rest] = lo, r
             m.freq.reshape(-1)[rest * (_SLOTS + 1) + sym] += _GAIN
             if decode:
                 x[rest] = y
         if decode:
             columns[t, :n] = x
-            _take(low, rng, code, words, at, n)
-        else:
-            _emit(low, rng, words, at, n)
-        err = (hit2.astype(np.int64) << 12) - fa
+        _shift(low, rng, n, words, at, code)
+        goal = hit2.astype(np.int32)
+        err = (goal << 12) - fa
         for w, s in ((w2, s2), (w1, s1), (w0, s0)):
             w += (s * err) >> 12
-        goal = hit2.astype(np.int32) << 16
-        for p, j in ((m.p2, j2), (m.p1, j1), (m.p0, j0)):
-            old = p[j]
-            p[j] = np.clip(old + ((goal - old) >> 5), 32, 65503)
+        goal <<= 16
+        for p, j, old in ((m.p2, j2, q2), (m.p1, j1, q1), (m.p0, j0, q0)):
+            p[j] = old + ((goal - old) >> 5)
         two = np.flatnonzero(~hit2 & ~agree)
-        old = m.pb[jb[two]]
-        m.pb[jb[two]] = np.clip(old + (((one[two].astype(np.int32) << 16) - old) >> 5), 32, 65503)
+        old = qb.take(two)
+        m.pb[jb.take(two)] = old + (((one.take(two).astype(np.int32) << 16) - old) >> 5)
         m.recent[:n] = (m.recent[:n] << 1 | hit2) & 7
-        for c, k, i, seen, conf in ((m.c2, m.k2, i2, c2, k2), (m.c1, m.k1, i1, c1, k1)):
-            right = x == seen
-            stay = right | (conf > 1)
-            k[i] = np.where(right, np.minimum(conf + 1, 7), np.where(stay, conf >> 1, 1))
-            c[i] = np.where(stay, seen, x)
+        wide = x.astype(np.uint32)
+        for table, i, seen, entry, conf in ((m.t2, i2, c2, e2, k2), (m.t1, i1, c1, e1, k1)):
+            # right: one more, up to 7; wrong: half the confidence, and from 1 down the new id takes the place
+            table[i] = np.where(x == seen, entry + (conf < 7) * np.uint32(1 << 16), np.where(conf > 1, entry & np.uint32(0xFFFF) | (conf >> 1).astype(np.uint32) << np.uint32(16), wide | np.uint32(1 << 16)))
         m.b[:n] = a
         m.a[:n] = x
     if decode:

@@ -52,7 +52,7 @@ def forbidden(*sides: str) -> tuple[str, str]:
 
 _EDIT_NEUTRAL = (("edit_not_neutral", "e_neutral >= 0.12"), ("edit_top1", "e_top1 = 'neutral'"))
 _LABELS = ("no_label", "r_top1 IS NOT NULL AND o_top1 IS NOT NULL")
-_B = (("tag", "edit_tag IN ('view')"), forbidden("e", "r"), *_EDIT_NEUTRAL[:1], ("ref_top1", "r_top1 IS NULL OR r_top1 <> 'neutral'"), ("ref_neutral", "r_neutral IS NULL OR r_neutral <= 0.95"))
+_B = (("tag", "edit_tag IN ('view')"), forbidden("e", "r"), *_EDIT_NEUTRAL, ("ref_top1", "r_top1 IS NULL OR r_top1 <> 'neutral'"), ("ref_neutral", "r_neutral IS NULL OR r_neutral <= 0.95"))
 _D = (("same_top1", "{x}_top1 = {y}_top1"), ("neutral", "{x}_top1 <> 'neutral' AND {y}_top1 <> 'neutral'"), ("cosine", "{x}{y}_cos >= 0.7"), ("neutral_max", "({x}_neutral IS NULL OR {x}_neutral <= 0.95) AND ({y}_neutral IS NULL OR {y}_neutral <= 0.95)"))
 
 
@@ -61,16 +61,16 @@ def _d(x: str, y: str) -> tuple[tuple[str, str], ...]:
 
 
 CONSTRUCTORS = (
-    Constructor("A", "base_scored", "original_idx", (("sim", "coalesce(sim, 0) >= 0.95"),), "original_audio", "ref_audio"),
+    Constructor("A", "base_scored", "original_idx", (("sim", "coalesce(sim, 0) >= 0.5"),), "original_audio", "ref_audio"),
     Constructor("B", "joined_scored", "source_row_index", _B, "edited_audio", "ref_audio"),
     Constructor("C", "joined_scored", "source_row_index", _B, "ref_audio", "edited_audio"),
-    Constructor("C_mixed", "joined_scored", "source_row_index", (("tag", "edit_tag IN ('view')"), forbidden("e", "o"), *_EDIT_NEUTRAL[:1], ("org_missing", "o_neutral IS NOT NULL"), ("org_top1", "o_top1 <> 'neutral'"), ("org_neutral", "o_neutral <= 0.95")), "original_audio", "edited_audio"),
+    Constructor("C_mixed", "joined_scored", "source_row_index", (("tag", "edit_tag IN ('view')"), forbidden("e", "o"), *_EDIT_NEUTRAL, ("org_missing", "o_neutral IS NOT NULL"), ("org_top1", "o_top1 <> 'neutral'"), ("org_neutral", "o_neutral <= 0.95")), "original_audio", "edited_audio"),
     Constructor("D", "base_cosine", "original_idx", (_LABELS, forbidden("r", "o"), *_d("r", "o")), "ref_audio", "original_audio"),
-    Constructor("D_st", "joined_cosine", "source_row_index", (("tag", "edit_tag IN ('view', 'click', 'purchase')"), ("no_label", "r_top1 IS NOT NULL AND e_top1 IS NOT NULL"), forbidden("r", "e"), *_d("r", "e")), "ref_audio", "edited_audio"),
+    Constructor("D_st", "joined_cosine", "source_row_index", (("tag", "edit_tag IN ('view')"), ("no_label", "r_top1 IS NOT NULL AND e_top1 IS NOT NULL"), forbidden("r", "e"), *_d("r", "e")), "ref_audio", "edited_audio"),
     Constructor("D_cross_emo", "base_scored", "original_idx", (_LABELS, forbidden("r", "o"), ("neutral", "r_top1 <> 'neutral' AND o_top1 <> 'neutral'"), ("same_top1", "r_top1 <> o_top1"), ("neutral_max", "r_neutral <= 0.1 AND o_neutral <= 0.1")), "ref_audio", "original_audio"),
     Constructor("Genre", "joined_scored", "source_row_index", (("tag", "edit_tag IN ('click', 'purchase')"),), "ref_audio", "edited_audio"),
     Constructor("H1", "base_cosine", "original_idx", (("sim", "coalesce(sim, 0) >= 0.2"), _LABELS, ("same_top1", "r_top1 = o_top1"), ("cosine", "ro_cos >= 0.7")), "original_audio", "ref_audio"),
-    Constructor("H2", "joined_scored", "source_row_index", (("tag", "edit_tag = 'view'"), ("edit_not_neutral", "e_neutral >= 0.12"), ("ref_not_neutral", "r_neutral >= 0.05"), ("not_more_neutral", "e_neutral > r_neutral")), "ref_audio", "edited_audio"),
+    Constructor("H2", "joined_scored", "source_row_index", (("tag", "edit_tag = 'view'"), *_EDIT_NEUTRAL, ("ref_not_neutral", "r_neutral >= 0.05"), ("not_more_neutral", "e_neutral > r_neutral")), "ref_audio", "edited_audio"),
 )
 
 

@@ -50,7 +50,13 @@ def x05(t):
 
 
 
-@query("x05_word_error_rate")
+@query(
+    "x05_word_error_rate",
+    """WITH n AS (SELECT conv_id, turn, list_filter(string_split(reference, ' '), lambda x: x <> '') AS r, list_filter(string_split(hypothesis, ' '), lambda x: x <> '') AS h FROM {pair_text}),
+v AS (SELECT *, list_distinct(list_concat(r, h)) AS v FROM n),
+s AS (SELECT *, array_to_string(list_transform(r, lambda x: chr(33 + list_position(v, x)::INTEGER)), '') AS a, array_to_string(list_transform(h, lambda x: chr(33 + list_position(v, x)::INTEGER)), '') AS b FROM v)
+SELECT conv_id, turn, round(CASE WHEN len(r) = 0 AND len(h) = 0 THEN 0 WHEN len(r) = 0 THEN 1 ELSE levenshtein(a, b) / len(r) END, 6)::DOUBLE AS err FROM s""",
+)
 def x05_words(t):
     return t["pair_text"].select("conv_id", "turn", F.round(X.error_rate(F.col("reference"), F.col("hypothesis"), _en()), 6).alias("err"))
 

@@ -2,9 +2,11 @@
 
 1. Documents with the same set of shingles form a class; only classes go on.
 2. Signatures of 40 bands of 6 rows. Two sets of similarity 0.8 share no band with probability under 6e-6.
-3. In each bucket every class is compared with one leader: linear in the bucket, whatever its size.
-4. Links found join components. In buckets that still hold several components, all pairs across components are compared,
-   in cells of two blocks of at most 256 classes, inside the workers: no pair leaves a worker unless it may be a link.
+3. In each bucket of the first 8 bands every class is compared with its leader, the smallest: linear in the bucket, whatever its
+   size. Links found join components. The same follows for buckets of all bands that still hold several components.
+4. In buckets that even then hold several components, all pairs across components are compared, in cells of two blocks of
+   about 256 classes, inside the workers, a pair in the first of its common buckets only. Cells hold the sets as 32-bit hashes beside the
+   signatures; a pair leaves its worker only if it is a link or within SLACK shingles of one.
 5. Comparing goes through the signatures batch by batch; a pair goes when the posterior probability (uniform prior)
    that its similarity reaches the threshold is below MISS. Survivors are verified on the full sets.
 """
@@ -26,7 +28,11 @@ BANDS, ROWS, BATCH = 40, 6, 16
 HASHES = BANDS * ROWS
 #: Probability at which a pair that is a link may be pruned at one batch.
 MISS = 1e-6
-BLOCK = 256
+BLOCK, FIRST = 256, 8
+#: Shingles by which collisions of 32-bit hashes may hide a link.
+SLACK = 3
+#: Most documents looked up by a broadcast of their ids (8 bytes each); more are joined by shuffles.
+FEW = 200_000
 _rng = np.random.default_rng(20240229)
 _A = (_rng.integers(0, 1 << 32, HASHES, dtype=np.uint64).astype(np.uint32) | np.uint32(1))[:, None]
 _B = _rng.integers(0, 1 << 32, HASHES, dtype=np.uint64).astype(np.uint32)[:, None]
@@ -91,7 +97,8 @@ def _bands(batches):
         nodes = batch.column(0).to_numpy(zero_copy_only=False)
         sigs = batch.column(1).to_pylist()
         keys = np.fromiter((xxhash.xxh3_64_intdigest(s[i : i + 2 * ROWS], seed=i) - (1 << 63) for s in sigs for i in range(0, 2 * HASHES, 2 * ROWS)), np.int64, len(sigs) * BANDS)
-        yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(np.repeat(nodes, BANDS))], names=["bucket", "node"])
+        band = np.tile(np.arange(BANDS, dtype=np.int32), len(sigs))
+        yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(np.repeat(nodes, BANDS)), pa.array(band)], names=["bucket", "node", "band"])
 
 
 def _prune(least):
@@ -105,20 +112,40 @@ def _prune(least):
     return run
 
 
-def _cell(least):
+def _bags(k: int):
+    """The sets of the texts as sorted 32-bit hashes."""
+
+    def run(batches):
+        for batch in batches:
+            bags = [np.unique(x.astype(np.uint32)).tobytes() for part in chunks(batch.column(1).to_pylist()) for x in shingle_sets(part, k)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(bags, pa.binary())], names=["node", "bag"])
+
+    return run
+
+
+def _cell(least, percent: int):
     def run(t: pa.Table) -> pa.Table:
         node, comp, block = (t.column(c).to_numpy() for c in ("node", "comp", "block"))
-        i, j = t.column("i")[0].as_py(), t.column("j")[0].as_py()
+        i, j, band = (t.column(c)[0].as_py() for c in ("i", "j", "band"))
         sig = np.frombuffer(b"".join(t.column("sig").to_pylist()), np.uint16).reshape(-1, HASHES)
+        bags = [np.frombuffer(b, np.uint32) for b in t.column("bag").to_pylist()]
+        size = np.array([len(b) for b in bags])
         left = np.flatnonzero(block == i)
         right = left if i == j else np.flatnonzero(block == j)
-        us, vs = [], []
+        us, vs = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         for x in left:
             y = right[(comp[right] != comp[x]) & ((right > x) | (i != j))]
             y = y[surviving(np.broadcast_to(sig[x], (len(y), HASHES)), sig[y], least)]
-            us.append(np.full(len(y), node[x]))
-            vs.append(node[y])
-        return pa.table({"u": np.concatenate(us or [np.zeros(0, np.int64)]), "v": np.concatenate(vs or [np.zeros(0, np.int64)])})
+            if band and len(y):
+                y = y[~(sig[x, : band * ROWS] == sig[y, : band * ROWS]).reshape(len(y), band, ROWS).all(axis=2).any(axis=1)]
+            if len(y):
+                flat, mine = np.concatenate([bags[v] for v in y]), bags[x]
+                hit = mine[np.minimum(np.searchsorted(mine, flat), len(mine) - 1)] == flat
+                both = np.add.reduceat(hit, np.concatenate([[0], np.cumsum(size[y])[:-1]]), dtype=np.int64) + SLACK
+                y = y[100 * both >= percent * (size[x] + size[y] - both)]
+                us.append(np.full(len(y), node[x]))
+                vs.append(node[y])
+        return pa.table({"u": np.concatenate(us), "v": np.concatenate(vs)})
 
     return run
 
@@ -143,48 +170,65 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, miss: float
 
     Documents are linked when the Jaccard similarity of their sets of k-word shingles is percent/100 or more.
     Null and empty texts have an empty set and no link; texts of fewer than k words have their sequence as one shingle.
-    Rows with the same doc_id count as one document of that id; an empty table gives an empty table.
+    Rows with the same doc_id count as one document of that id; one without doc_id belongs to its class but is never kept;
+    an empty table gives an empty table.
     """
     spark = prepare(docs.sparkSession)
     scratch = Scratch(spark)
     least = least_matches(percent / 100, miss)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     rows = scratch.save(docs.mapInArrow(_sketch(k), "doc_id long, n_shingles long, set_key binary, sig binary"), "sketches")
-    rep = rows.where("set_key is not null").groupBy("set_key").agg(F.min("doc_id").alias("node"))
-    member = scratch.save(rows.select("doc_id", "n_shingles", "set_key").join(rep, "set_key", "left").select("doc_id", "n_shingles", "node"), "members")
-    sigs = scratch.save(rows.select("set_key", "doc_id", "sig").join(rep, "set_key").where("doc_id = node").select("node", "sig").distinct(), "signatures")
-    placed = sigs.mapInArrow(_bands, "bucket long, node long").distinct()
-    full = placed.groupBy("bucket").agg(F.count("*").alias("n"), F.min_by("node", F.xxhash64("node", "bucket")).alias("leader")).where("n > 1")
-    placed = scratch.save(placed.join(full, "bucket").select("bucket", "node", "leader"), "buckets")
+    reps = scratch.save(rows.where("set_key is not null and doc_id is not null").groupBy("set_key").agg(F.min("doc_id").alias("node"), F.min("sig").alias("sig")), "classes")
+    member = scratch.save(rows.select("doc_id", "n_shingles", "set_key").join(reps.select("set_key", "node"), "set_key", "left").select("doc_id", "n_shingles", "node"), "members")
+    sigs = reps.select("node", "sig")
+    placed = sigs.mapInArrow(_bands, "bucket long, node long, band int")
+    full = placed.groupBy("bucket").agg(F.count("*").alias("n"), F.min("node").alias("leader")).where("n > 1")
+    placed = scratch.save(placed.join(full, "bucket").select("bucket", "node", "band", "leader"), "buckets")
 
     def checked(pairs: DataFrame) -> DataFrame:
         """Of pairs (u, v), those that the posterior bounds let through."""
         both = pairs.join(sigs.select(F.col("node").alias("u"), F.col("sig").alias("a")), "u").join(sigs.select(F.col("node").alias("v"), F.col("sig").alias("b")), "v")
         return both.select("u", "v", "a", "b").mapInArrow(_prune(least), "u long, v long")
 
+    def looked_up(ids: DataFrame) -> DataFrame:
+        """The rows of docs with these doc_ids, a written table."""
+        return docs.join(F.broadcast(ids) if ids.count() <= FEW else ids, "doc_id", "left_semi")
+
     def verified(pairs: DataFrame) -> DataFrame:
         pairs = scratch.save(pairs.distinct(), "survivors")
-        both = pairs.join(docs.select(F.col("doc_id").alias("u"), F.col("text").alias("a")), "u").join(docs.select(F.col("doc_id").alias("v"), F.col("text").alias("b")), "v")
+        texts = looked_up(scratch.save(pairs.select(F.explode(F.array("u", "v")).alias("doc_id")).distinct(), "wanted"))
+        both = pairs.join(texts.select(F.col("doc_id").alias("u"), F.col("text").alias("a")), "u").join(texts.select(F.col("doc_id").alias("v"), F.col("text").alias("b")), "v")
         return scratch.save(both.select("u", "v", "a", "b").mapInArrow(_similar(k, percent), "u long, v long").distinct(), "verified")
 
-    star = placed.where("node <> leader").select(F.greatest("node", "leader").alias("u"), F.least("node", "leader").alias("v")).distinct()
-    links = verified(checked(star))
+    def star(rows: DataFrame) -> DataFrame:
+        return rows.where("node <> leader").select(F.greatest("node", "leader").alias("u"), F.least("node", "leader").alias("v")).distinct()
+
+    def with_components(comp: DataFrame) -> DataFrame:
+        return placed.join(comp, "node", "left").select("bucket", "node", "band", "leader", F.coalesce("component", "node").alias("comp"))
+
+    links = verified(checked(star(placed.where(F.col("band") < FIRST))))
+    comp = scratch.save(components(scratch, links), "components")
+    led = with_components(comp).join(comp.select(F.col("node").alias("leader"), F.col("component").alias("other")), "leader", "left")
+    links = links.unionByName(verified(checked(star(led.where("comp <> coalesce(other, leader)")))))
     comp = scratch.save(components(scratch, links), "components")
-    placed = placed.join(comp, "node", "left").select("bucket", "node", F.coalesce("component", "node").alias("comp"))
-    mixed = placed.groupBy("bucket").agg(F.min("comp").alias("a"), F.max("comp").alias("b"), F.count("*").alias("n")).where("a <> b and n > 2").select("bucket", "n")
+    placed = with_components(comp)
+    mixed = scratch.save(placed.groupBy("bucket").agg(F.min("comp").alias("a"), F.max("comp").alias("b"), F.count("*").alias("n")).where("a <> b and n > 2").select("bucket", "n"), "mixed")
     cells = (
         placed.join(mixed, "bucket")
         .withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int"))
         .withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .select("bucket", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "node", "comp", "block")
-        .join(sigs, "node")
+        .select("bucket", "band", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "node", "comp", "block")
     )
-    rest = cells.groupBy("bucket", "i", "j").applyInArrow(_cell(least), "u long, v long").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
+    cells = scratch.save(cells, "cells")
+    wanted = scratch.save(cells.select("node").distinct(), "wanted")
+    bags = looked_up(wanted.withColumnRenamed("node", "doc_id")).mapInArrow(_bags(k), "node long, bag binary").distinct()
+    cells = cells.join(sigs.join(bags, "node"), "node")
+    rest = cells.groupBy("bucket", "i", "j").applyInArrow(_cell(least, percent), "u long, v long").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
     links = links.unionByName(verified(rest))
     comp = scratch.save(components(scratch, links), "components")
     out = member.join(comp, "node", "left")
-    return out.select("doc_id", "n_shingles", F.coalesce("component", "node", "doc_id").alias("component_id")).withColumn("kept", F.col("doc_id") == F.col("component_id"))
+    return out.select("doc_id", "n_shingles", F.coalesce("component", "node", "doc_id").alias("component_id")).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)))
 
 
 def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

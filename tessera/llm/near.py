@@ -5,7 +5,7 @@
 3. In each bucket of the first 8 bands every class is compared with its leader, the smallest: linear in the bucket, whatever its
    size. Links found join components. The same follows for buckets of all bands that still hold several components.
 4. In buckets that even then hold several components, all pairs across components are compared, in cells of two blocks of
-   about 256 classes, inside the workers, a pair in the first of its common buckets only. Cells hold the sets as 32-bit hashes beside the
+   about 1024 classes, inside the workers, a pair in the first of its common buckets only. Cells hold the sets as 32-bit hashes beside the
    signatures; a pair leaves its worker only if it is a link or within SLACK shingles of one.
 5. Comparing goes through the signatures batch by batch; a pair goes when the posterior probability (uniform prior)
    that its similarity reaches the threshold is below MISS. Survivors are verified on the full sets.
@@ -28,7 +28,7 @@ BANDS, ROWS, BATCH = 40, 6, 16
 HASHES = BANDS * ROWS
 #: Probability at which a pair that is a link may be pruned at one batch.
 MISS = 1e-6
-BLOCK, FIRST = 256, 8
+BLOCK, FIRST = 1024, 8
 #: Shingles by which collisions of 32-bit hashes may hide a link.
 SLACK = 3
 #: Most documents looked up by a broadcast of their ids (8 bytes each); more are joined by shuffles.

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..registry import query, sql_query
-from .relational import last_wins, lookup_table, numbered, overlay, resume, ring_pick, upsert_by_any_key, with_fallback
+from .relational import last_wins, lookup_table, negatives, overlay, resume, upsert_by_any_key, with_fallback
 
 
 @query("j01_edit_base_join", "SELECT e.source_row_index, e.edit_tag, b.original_idx, round(b.sim, 6) AS sim FROM {edit} e JOIN {base_last} b USING (ref_audio)")
@@ -88,11 +88,8 @@ _HASH = "('0x' || substr(md5(concat_ws(':', '42', i.c_custkey::VARCHAR, k::VARCH
 SELECT i.c_custkey AS anchor, k AS pick, j.c_custkey AS negative FROM i, k JOIN i j ON j.r = (i.r + 1 + {_HASH} % (i.n - 1)) % i.n""",
 )
 def j09(t):
-    rows = numbered(t["customer"].select("c_custkey"), "c_custkey", "r")
-    n = rows.agg(F.count("*").alias("n"))
-    picks = rows.join(F.broadcast(n))  # one row
-    parts = [picks.select(F.col("c_custkey").alias("anchor"), F.lit(k).alias("pick"), ring_pick(picks, "r", F.col("n"), "42", "c_custkey", k).alias("at")) for k in (0, 1)]
-    return parts[0].unionByName(parts[1]).join(rows.select(F.col("r").alias("at"), F.col("c_custkey").alias("negative")), "at").select("anchor", "pick", "negative")
+    out = negatives(t["customer"].select("c_custkey"), "c_custkey", "42", 2)
+    return out.select(F.col("c_custkey").alias("anchor"), F.col("k").alias("pick"), F.col("at_c_custkey").alias("negative"))
 
 
 @query(
@@ -114,15 +111,14 @@ sql_query(
     "j10_next_other",
     """WITH i AS (SELECT c_custkey, c_mktsegment, lead(c_custkey) OVER (PARTITION BY floor(c_custkey / 64) ORDER BY c_custkey) AS nxt FROM {customer}) SELECT c_custkey, coalesce(nxt, -1) AS partner FROM i""",
 )
-sql_query(
+@query(
     "j11_neighbor_pick",
     """WITH i AS (SELECT original_idx, row_number() OVER (ORDER BY original_idx) - 1 AS r, count(*) OVER () AS n FROM {base_last}),
-p AS (SELECT original_idx, (r + 1 + CAST(conv(substr(md5(concat_ws(':', '7', CAST(original_idx AS STRING))), 1, 8), 16, 10) AS BIGINT) % (n - 1)) % n AS at FROM i)
-SELECT p.original_idx, i.original_idx AS neighbor FROM p JOIN i ON i.r = p.at""",
-    """WITH i AS (SELECT original_idx, row_number() OVER (ORDER BY original_idx) - 1 AS r, count(*) OVER () AS n FROM {base_last}),
-p AS (SELECT original_idx, (r + 1 + ('0x' || substr(md5(concat_ws(':', '7', original_idx::VARCHAR)), 1, 8))::BIGINT % (n - 1)) % n AS at FROM i)
+p AS (SELECT original_idx, (r + 1 + ('0x' || substr(md5(concat_ws(':', '7', original_idx::VARCHAR, '0')), 1, 8))::BIGINT % (n - 1)) % n AS at FROM i)
 SELECT p.original_idx, i.original_idx AS neighbor FROM p JOIN i ON i.r = p.at""",
 )
+def j11(t):
+    return negatives(t["base_last"].select("original_idx"), "original_idx", "7", 1).select("original_idx", F.col("at_original_idx").alias("neighbor"))
 
 
 @query("j12_resume", "SELECT doc_id FROM {documents} WHERE doc_id NOT IN (SELECT doc_id FROM {labels})")

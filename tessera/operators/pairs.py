@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions.num import cosine
 from ..registry import ORACLES, QUERIES, Inputs, oracle, query, sql_query
-from .relational import drop_reasons, numbered, ring_pick
+from .relational import drop_reasons, negatives, numbered
 
 FORBIDDEN = "'unk'"
 
@@ -122,18 +122,6 @@ def c09(t: Inputs) -> DataFrame:
     return pairs.select("ref_audio", "tag_a", "tag_b", F.col("a_idx").alias("reference_idx"), F.col("b_idx").alias("target_idx"), F.format_string("Genre_%06d", F.col("before") + F.col("own")).alias("pair_id"))
 
 
-def negatives(rows: DataFrame, key: str, seed: str, picks: int) -> DataFrame:
-    """rows with k and at_<column> for every column of a partner: `picks` times any other row, the same at every run."""
-    rows = numbered(rows, key, "r")
-    total = F.broadcast(rows.agg(F.count("*").alias("n")))  # one row
-    wide = rows.join(total)
-    chosen = [wide.withColumn("k", F.lit(k)).withColumn("at", ring_pick(wide, "r", F.col("n"), seed, key, k)) for k in range(picks)]
-    both = chosen[0]
-    for c in chosen[1:]:
-        both = both.unionByName(c)
-    return both.drop("n", "r").join(rows.select(*[F.col(c).alias(f"at_{c}") for c in rows.columns if c != "r"], F.col("r").alias("at")), "at").drop("at")
-
-
 @query(
     "c12_pairs_H3",
     """WITH a AS (SELECT original_idx, ref_audio, row_number() OVER (ORDER BY original_idx) - 1 AS r, count(*) OVER () AS n FROM {base} WHERE coalesce(sim, 0) >= 0.5),

@@ -107,9 +107,11 @@ p AS (SELECT c_custkey, (g0 + ng + CAST(conv(substr(md5(concat_ws(':', '42', CAS
 SELECT p.c_custkey AS anchor, j.c_custkey AS negative FROM p JOIN i j ON j.r = p.at""")
 
 
+# the first row with another audio: the first of all, or for rows that share its audio the first with a different one; -1 if there is none
 sql_query(
     "j10_next_other",
-    """WITH i AS (SELECT c_custkey, c_mktsegment, lead(c_custkey) OVER (PARTITION BY floor(c_custkey / 64) ORDER BY c_custkey) AS nxt FROM {customer}) SELECT c_custkey, coalesce(nxt, -1) AS partner FROM i""",
+    """SELECT original_idx, CASE WHEN ref_audio <> (SELECT min_by(ref_audio, original_idx) FROM {base}) THEN (SELECT min(original_idx) FROM {base})
+  ELSE coalesce((SELECT min(original_idx) FROM {base} WHERE ref_audio <> (SELECT min_by(ref_audio, original_idx) FROM {base})), -1) END AS partner FROM {base}""",
 )
 @query(
     "j11_neighbor_pick",

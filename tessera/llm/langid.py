@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import pickle
 
 import numpy as np
 import pyarrow as pa
@@ -133,18 +134,24 @@ def fit(rows: list[tuple[str, np.ndarray, np.ndarray]], epochs: int = EPOCHS, se
     return model
 
 
+def _fitted(batches):
+    """One row: the model of all rows, which are a bounded sample."""
+    rows = [r for batch in batches for r in zip(*(c.to_pylist() for c in batch.columns), strict=True)]
+    model = fit([(a, np.frombuffer(b, np.uint16), np.frombuffer(c, np.float32)) for a, b, c in sorted(rows)])
+    yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(model)], pa.binary())], names=["model"])
+
+
 def train(docs: DataFrame, sample: int = SAMPLE) -> Model | None:
-    """A model from about sample documents (doc_id, text, lang) of each non-null language, picked by a hash of doc_id.
-    The counts that set each language's rate cover all documents; only the picked ones' counted subwords come to the driver."""
+    """A model from about `sample` documents (doc_id, text, lang) of each non-null language, picked by a hash of doc_id.
+    The counts that set each language's rate cover all documents; the picked ones' counted subwords meet in one task, which fits the model."""
     docs = docs.where("lang is not null and text is not null")
     rates = {r[0]: min(1.0, sample / r[1]) for r in docs.groupBy("lang").count().collect()}
     if not rates:
         return None
     rate = F.element_at(F.create_map(*[F.lit(x) for pair in rates.items() for x in pair]), F.col("lang"))
     picked = docs.where(F.pmod(F.xxhash64("doc_id", F.lit("language")), F.lit(1 << 30)) < rate * (1 << 30))
-    got = picked.select("doc_id", "lang", "text").mapInArrow(_sampled, "lang string, idx binary, share binary").toArrow()
-    got = got.sort_by([("lang", "ascending"), ("idx", "ascending"), ("share", "ascending")])
-    return fit([(a, np.frombuffer(b, np.uint16), np.frombuffer(c, np.float32).astype(float)) for a, b, c in zip(*(got.column(i).to_pylist() for i in range(3)), strict=True)])
+    counted = picked.select("doc_id", "lang", "text").mapInArrow(_sampled, "lang string, idx binary, share binary")
+    return pickle.loads(counted.repartition(1).mapInArrow(_fitted, "model binary").first()[0])
 
 
 def _predictor(sent):

@@ -9,7 +9,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 
 #: Bounds of one Arrow batch sent to a Python worker, so that very long texts stay within its memory.
-BATCH_ROWS, BATCH_BYTES = 1000, 16 << 20
+BATCH_ROWS, BATCH_BYTES = 500, 4 << 20
 
 
 def prepare(spark: SparkSession) -> SparkSession:

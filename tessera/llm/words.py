@@ -12,7 +12,7 @@ FOLD = bytes(32 if c in (9, 10, 11, 12, 13, 32) else c + 32 if 65 <= c <= 90 els
 KEEP = bytes(32 if c in (9, 10, 11, 12, 13, 32) else c for c in range(256))
 _P = np.uint64(0x9E3779B97F4A7C15)
 _P_INV = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
-CHUNK = 1 << 20
+CHUNK = 1 << 18
 _pow = np.ones(1, np.uint64)
 _inv = np.ones(1, np.uint64)
 

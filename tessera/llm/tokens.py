@@ -67,25 +67,24 @@ class Encoder:
         m = _WORD.fullmatch(p)
         if m is None:
             return self._whole(f" {p}" if space else p)
-        tail = self.tails.get(m[2])
-        if tail is None:
-            tail = self._whole(m[2])
-            if len(self.tails) < 10_000:
-                self.tails[m[2]] = tail
-        return self._letters(m[1], space) + tail
+        head, tail = m.groups()
+        return self._letters(head, space) + (self.tails[tail] if tail in self.tails else self._tail(tail))
+
+    def _tail(self, tail: str) -> bytes:
+        ids = self._whole(tail)
+        if len(self.tails) < 10_000:
+            self.tails[tail] = ids
+        return ids
 
     def _missing(self, p: str) -> bytes | None:
         """Ids of a piece that isn't among the new ones; None if white space stands at its ends."""
         ids = self.old.get(p)
         if ids is None:
-            if not self.glue:
-                ids = self._piece(p, False)
-            else:
-                line = p[:1] == "\n"
-                body = p[1:] if line else p
-                if not body or body[0].isspace() or body[-1].isspace():
-                    return None
-                ids = self.line + self._piece(body, False) if line else self._piece(p, True)
+            line = self.glue and p[:1] == "\n"
+            body = p[1:] if line else p
+            if self.glue and (not body or body[0].isspace() or body[-1].isspace()):
+                return None
+            ids = self.line + self._piece(body, False) if line else self._piece(body, bool(self.glue))
         if len(p) <= LONGEST:
             self.new[p] = ids
             if len(self.new) > CACHE:

@@ -182,7 +182,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, miss: float
     member = scratch.save(rows.select("doc_id", "n_shingles", "set_key").join(reps.select("set_key", "node"), "set_key", "left").select("doc_id", "n_shingles", "node"), "members")
     sigs = reps.select("node", "sig")
     placed = sigs.mapInArrow(_bands, "bucket long, node long, band int")
-    full = placed.groupBy("bucket").agg(F.count("*").alias("n"), F.min("node").alias("leader")).where("n > 1")
+    full = scratch.save(placed.groupBy("bucket").agg(F.count("*").alias("n"), F.min("node").alias("leader")).where("n > 1"), "leaders")
     placed = scratch.save(placed.join(full, "bucket").select("bucket", "node", "band", "leader"), "buckets")
 
     def checked(pairs: DataFrame) -> DataFrame:

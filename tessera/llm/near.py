@@ -227,6 +227,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, miss: float
     rest = cells.groupBy("bucket", "i", "j").applyInArrow(_cell(least, percent), "u long, v long").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
     links = links.unionByName(verified(rest))
     comp = scratch.save(components(scratch, links), "components")
+    scratch.keep(member, comp)
     out = member.join(comp, "node", "left")
     return out.select("doc_id", "n_shingles", F.coalesce("component", "node", "doc_id").alias("component_id")).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)))
 

@@ -37,6 +37,7 @@ class Scratch:
         self.spark = prepare(spark)
         self.root = f"{shared_dir(spark).rstrip('/')}/tessera-{uuid.uuid4().hex}"
         self.n = 0
+        self.saved: list[str] = []
         atexit.register(self._end)
 
     def path(self, name: str) -> str:
@@ -49,12 +50,21 @@ class Scratch:
         df.write.parquet(at)
         back = self.spark.read.schema(df.schema).parquet(at)
         back.scratch_path = at
+        self.saved.append(at)
         return back
 
     def drop(self, df: DataFrame) -> None:
         """Delete a table made by save() that nothing will read again."""
+        self.saved.remove(df.scratch_path)
         self._delete(df.scratch_path)
 
+    def keep(self, *tables: DataFrame) -> None:
+        """Delete all tables made by save() but these, on which the result rests."""
+        kept = {t.scratch_path for t in tables}
+        for at in [x for x in self.saved if x not in kept]:
+            self.saved.remove(at)
+            self._delete(at)
+
     def _delete(self, at: str) -> None:
         jvm = self.spark._jvm
         path = jvm.org.apache.hadoop.fs.Path(at)

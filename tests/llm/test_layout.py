@@ -215,6 +215,21 @@ def test_passages_are_found_and_clean_documents_left_alone(spark):
         assert same >= 0.7
 
 
+@pytest.mark.parametrize("parts", [(30, 30), (39, 39), (20, 20), (20, 20, 20), (14, 13, 13)])
+def test_passages_composed_of_lines_first_seen_in_other_documents(spark, parts):
+    rng = random.Random(sum(parts))
+    rows, pairs = [], 12
+    for k in range(pairs):
+        lines = [words(rng, n) for n in parts]
+        for j, line in enumerate(lines):
+            rows.append((10 * k + j, words(rng, 30) + line + words(rng, 30)))
+        for j in (8, 9):
+            rows.append((10 * k + j, words(rng, 25) + [w for line in lines for w in line] + words(rng, 25)))
+    df = spark.createDataFrame([(i, " ".join(w)) for i, w in rows], "doc_id long, text string")
+    got = {(r["doc_id"], r["ref_id"], r["start"], r["end"]) for r in passages.shared_passages(df).collect()}
+    assert got == {(10 * k + 9, 10 * k + 8, 25, 25 + sum(parts)) for k in range(pairs)}
+
+
 def test_chain_follows_both_orders_and_pays_for_gaps():
     pos, ref = np.array([0, 10, 20, 30, 5]), np.array([100, 110, 120, 130, 500])
     best = passages.chain(pos, ref)

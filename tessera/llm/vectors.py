@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -167,6 +168,13 @@ def codebook(n: int, codewords: int) -> list[np.ndarray]:
     return out
 
 
+@cache
+def rotation(n: int) -> np.ndarray:
+    """A fixed random orthogonal matrix. It spreads the energy of any vector over both halves of the dimensions, and keeps cosines."""
+    q, r = np.linalg.qr(np.random.default_rng(n * 1_000_003 + 1).standard_normal((n, n)))
+    return q * np.where(np.diag(r) < 0, -1.0, 1.0)
+
+
 def decode(x: np.ndarray, books: list[np.ndarray], cap: float, least: int = LEAST) -> list[np.ndarray]:
     """For each unit row of x the numbers of all filters whose direction it exceeds by the cap, ascending; the `least` best ones at least,
     since halves of unequal length leave some vectors with few. Codewords of the first half that can't reach the cap with the best of the second are left out before pairs are formed."""
@@ -200,7 +208,7 @@ def _filters(codewords: int, cap: float):
                 scale = np.abs(x).max(axis=1, keepdims=True)
                 unit = x / scale
                 unit /= np.linalg.norm(unit, axis=1, keepdims=True)
-                for i, row, own in zip(at, x, decode(unit, codebook(n, codewords), cap), strict=True):
+                for i, row, own in zip(at, x, decode(unit @ rotation(n), codebook(n, codewords), cap), strict=True):
                     filters += [n * (1 << 32) + int(f) for f in own]
                     node += [nodes[i].as_py()] * len(own)
                     vec += [row.tobytes()] * len(own)
@@ -265,7 +273,7 @@ def _linked(threshold: float):
 def near_vectors(rows: DataFrame, threshold: float = 0.9, codewords: int = CODEWORDS, cap: float = CAP) -> DataFrame:
     """(vec_id, n_links, component_id, kept) for each row of rows (vec_id, embedding; other columns are ignored).
 
-    Vectors that share a spherical-cap filter are compared by cosine in double precision. Equal vectors form one class with a count, so a
+    Vectors that share a spherical-cap filter after a random rotation are compared by cosine in double precision. Equal vectors form one class with a count, so a
     large group of copies costs as one vector; a filter's vectors are compared in cells of two blocks of about CELL. A pair with the
     threshold's cosine is missed when no filter holds both; the README has the recall by brute force.
     Null, zero, empty and partly null or non-finite vectors link with nothing, nor do vectors of different lengths.

@@ -87,6 +87,25 @@ def test_near_vectors(spark, monkeypatch, cell):
     assert len(wrong) <= 0.01 * len(rows) and all(got[i]["kept"] == (got[i]["component_id"] == i) for i in got)
 
 
+@pytest.mark.parametrize("shape", ["first half", "decay", "one half", "eight dimensions"])
+def test_near_vectors_of_uneven_energy(spark, shape):
+    d, i = 64, np.arange(64)
+    scale = {"first half": np.where(i < 32, 10, 1), "decay": 1 / (i + 1), "one half": (i < 32) * 1, "eight dimensions": (i < 8) * 1}[shape]
+    rng = np.random.default_rng(11)
+    x, z = rng.standard_normal((2, 300, d)) * scale
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    z -= (z * x).sum(axis=1, keepdims=True) * x
+    z /= np.linalg.norm(z, axis=1, keepdims=True)
+    both = np.concatenate([x, 0.9005 * x + np.sqrt(1 - 0.9005**2) * z])
+    rows = [(k, v.astype(np.float32).tolist()) for k, v in enumerate(both)]
+    got = {r["vec_id"]: r["n_links"] for r in vectors.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<float>")).collect()}
+    links, _ = brute(rows)
+    assert all(got[k] <= len(links[k]) for k in got)
+    recall = sum(got.values()) / sum(map(len, links.values()))
+    print(f"{shape}: {recall:.4f}")
+    assert recall >= 0.99
+
+
 def test_near_vectors_edges(spark):
     df = spark.createDataFrame([(1, [1.0, 0.0]), (1, [1.0, 0.0]), (None, [1.0, 0.0])], "vec_id long, embedding array<float>")
     assert sorted((tuple(r) for r in vectors.near_vectors(df).collect()), key=str) == sorted([(1, 2, 1, True), (1, 2, 1, True), (None, 2, 1, False)], key=str)

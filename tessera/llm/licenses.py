@@ -14,8 +14,6 @@ from .runtime import prepare, table
 #: ASCII bytes that belong to no word become a space, A-Z becomes a-z; all other bytes belong to words.
 FOLD = bytes(c if c > 127 or 97 <= c <= 122 or 48 <= c <= 57 else c + 32 if 65 <= c <= 90 else 32 for c in range(256))
 BASE = {"under the mit license": "mit", "apache license version 2": "apache-2", "cc by nc": "cc-by-nc"}
-#: A text with none of these has no detection; every rule needs one of them.
-ANCHORS = ("licen", "copyright", "copyleft", "gpl", " cc ", " cc0 ", "creative commons", "spdx", "public domain", "redistribut", "permission is", "warranty", "permission to use", "opensource org")
 
 
 class Rule(NamedTuple):
@@ -64,7 +62,7 @@ SIGNATURES = [
     ("public-domain", "public domain", r"(?:is|are|been|placed|released|dedicated|put)(?: \S+){0,3} (?:in|into|to) the public domain"),
     ("public-domain", "public domain", r"public domain (?:dedication|mark|work|software)"),
     ("proprietary", "all rights reserved", r"copyright (?:\S+ ){1,10}?all rights reserved"),
-    ("proprietary", "licen", r"may not be (?:copied|reproduced|distributed)(?: \S+){0,8} without (?:\S+ ){0,4}(?:licen[sc]e|permission)"),
+    ("proprietary", "may not be", r"may not be (?:copied|reproduced|distributed)(?: \S+){0,8} without (?:\S+ ){0,4}(?:licen[sc]e|permission)"),
     ("no-warranty", "warranty", r"without warranty of any kind(?: express or implied)?"),
     ("copyleft", "copyleft", r"copyleft (?:licen[sc]e|licensed)"),
 ]
@@ -150,18 +148,27 @@ def _spoken(version: str) -> str:
     return version.replace(".", " ") if "." in version else rf"{version}(?: 0)?"
 
 
+def _by_keyword(name: str) -> list[tuple[str, str]]:
+    """The alternatives of a name as (keyword, alternatives that contain it): each has a literal of its own."""
+    out: dict[str, list[str]] = {}
+    for one in re.split(r"\|(?![^()]*\))", name):
+        bare = re.sub(r"\(\?:[^()]*\)\??", "", one)  # what no group makes optional
+        out.setdefault("licen" if "licen" in bare else "gpl" if "gpl" in bare else bare.strip(), []).append(one)
+    return [(keyword, "|".join(some)) for keyword, some in out.items()]
+
+
 @cache
 def rules() -> tuple[Rule, ...]:
     """All rules in order: signatures, names with a version, identifiers, names alone. A smaller priority wins."""
     out = [Rule(label, 1, 0.95, keyword, pattern) for label, keyword, pattern in SIGNATURES]
-    for label, name, versions in NAMES:
-        word = "licen" if "licen" in name else label
+    for label, names, versions in NAMES:
         for v in versions.split():
-            out.append(Rule(f"{label}-{v}", 2, 0.9, word if label not in ("gpl", "lgpl", "agpl", "fdl") else "g", rf"(?:{name}){VERSION}{_spoken(v)}(?! \d)"))
+            out += [Rule(f"{label}-{v}", 2, 0.9, word, rf"(?:{name}){VERSION}{_spoken(v)}(?! \d)") for word, name in _by_keyword(names)]
             out.append(Rule(f"{label}-{v}", 3, 0.9, "spdx", rf"spdx license identifier {re.escape(label).replace(r'\-', ' ')} {_spoken(v)}(?: only| or later)?"))
         out.append(Rule(label, 4, 0.8, "spdx", rf"spdx license identifier {re.escape(label).replace(r'\-', ' ')}"))
-        out.append(Rule(label, 5, 0.7, word if label not in ("gpl", "lgpl", "agpl", "fdl") else "g", rf"(?:licensed|released|distributed|available|published|provided|covered)(?: \S+){{0,3}} (?:under|by)(?: the)?(?: terms of the)? (?P<own>{name})"))
-        out.append(Rule(label, 6, 0.6, word if label not in ("gpl", "lgpl", "agpl", "fdl") else "g", rf"(?:{name})"))
+        for word, name in _by_keyword(names):
+            out.append(Rule(label, 5, 0.7, word, rf"(?:licensed|released|distributed|available|published|provided|covered)(?: \S+){{0,3}} (?:under|by)(?: the)?(?: terms of the)? (?P<own>{name})"))
+            out.append(Rule(label, 6, 0.6, word, rf"(?:{name})"))
         out.append(Rule(label, 5, 0.7, "opensource org", rf"opensource org licenses? {re.escape(label).replace(r'\-', ' ')}"))
     for part, words in CREATIVE:
         short = part.replace("-", " ")
@@ -179,11 +186,11 @@ def rules() -> tuple[Rule, ...]:
 
 
 @cache
-def _ready() -> tuple[tuple[bytes, ...], dict[bytes, list[tuple[Rule, re.Pattern]]]]:
+def _ready() -> dict[bytes, list[tuple[Rule, re.Pattern]]]:
     gated: dict[bytes, list] = {}
     for rule in rules():
         gated.setdefault(rule.keyword.encode(), []).append((rule, re.compile(rb"(?<= )(?:" + rule.pattern.encode() + rb")(?= )")))
-    return tuple(a.encode() for a in ANCHORS), gated
+    return gated
 
 
 class Found(NamedTuple):
@@ -199,11 +206,8 @@ def detections(words: bytes) -> list[Found]:
 
     Rules run in order; one whose interval lies within that of a detection of smaller or equal priority is suppressed.
     """
-    anchors, gated = _ready()
-    if not any(a in words for a in anchors):
-        return []
     found = []
-    for keyword, some in gated.items():
+    for keyword, some in _ready().items():
         if keyword in words:
             for rule, pattern in some:
                 own = "own" if pattern.groupindex else 0

@@ -136,6 +136,52 @@ def test_rules_are_sound():
         re.compile(r.pattern)
 
 
+@pytest.mark.parametrize(
+    ("text", "label"),
+    [
+        ("Copyright X. May not be reproduced without permission", "proprietary"),
+        ("released under the wtfpl", "wtfpl"),
+        ("available under gfdl", "fdl"),
+        ("the GNU FDL 1.2", "fdl-1.2"),
+        ("products derived from this software may not be called Apache", "apache-1.1"),
+        ("Neither the name of Foo nor the names of its contributors may be used to endorse or promote products", "bsd-3-clause"),
+        ("All advertising materials mentioning features or use of this software must display", "bsd-4-clause"),
+    ],
+)
+def test_labels_that_need_no_word_of_licensing(text, label):
+    assert label in licenses.scan(text)[5].split(",")
+
+
+def test_a_sample_of_every_rule_passes_its_gate():
+    from re import _parser
+
+    def samples(tree):
+        """Least matches of a pattern: one for each branch, optional parts left out."""
+        out = [""]
+        for op, arg in tree:
+            op = str(op)
+            if op == "LITERAL":
+                own = [chr(arg)]
+            elif op == "IN":
+                own = [chr(arg[0][1]) if str(arg[0][0]) == "LITERAL" else "1" if "DIGIT" in str(arg) else "x"]
+            elif op == "BRANCH":
+                own = [s for branch in arg[1] for s in samples(branch)]
+            elif op == "SUBPATTERN":
+                own = samples(arg[3])
+            elif op in ("MAX_REPEAT", "MIN_REPEAT"):
+                own = [s * arg[0] for s in samples(arg[2])] if arg[0] else [""]
+            else:
+                assert op in ("ASSERT_NOT", "ASSERT"), op
+                own = [""]
+            out = [a + b for a in out for b in dict.fromkeys(own)]
+        return out
+
+    for rule in licenses.rules():
+        for sample in samples(_parser.parse(rule.pattern)):
+            assert re.search(f"(?<= )(?:{rule.pattern})(?= )", f" {sample} "), (rule, sample)
+            assert rule.keyword in f" {sample} ", (rule, sample)
+
+
 def test_license_query_edges(spark):
     df = spark.createDataFrame([(1, None, 2.0), (1, "cc by nc", 1.0)], "doc_id long, text string, score double")
     got = sorted((tuple(r) for r in licenses.license_scan(df).collect()), key=str)

@@ -255,8 +255,8 @@ def test_recall_of_forty_words_with_changes(spark, identity, least):
 def test_chain_follows_both_orders_and_pays_for_gaps():
     pos, ref = np.array([0, 10, 20, 30, 5]), np.array([100, 110, 120, 130, 500])
     best = passages.chain(pos, ref)
-    assert best[0].tolist() == [0, 1, 2, 3] and len(best) == 1
-    assert passages.chain(np.array([0, 400]), np.array([0, 400])) == []
+    assert [c.tolist() for c in best] == [[0, 1, 2, 3], [4]]
+    assert [c.tolist() for c in passages.chain(np.array([0, 400]), np.array([0, 400]))] == [[0], [1]]
     rng = random.Random(3)
     for _ in range(50):  # the best score equals that of a quadratic search
         n = rng.randrange(2, 40)
@@ -271,6 +271,91 @@ def test_chain_follows_both_orders_and_pays_for_gaps():
             assert max(map(score, chains)) == pytest.approx(max(f.values()))
 
 
+def test_anchors_follow_the_places_that_overlap():
+    rng = random.Random(8)
+    for _ in range(40):
+        n = rng.randrange(1, 60)
+        pair, pos, ref = (np.array([rng.randrange(m) for _ in range(n)]) for m in (3, 50, 12))
+        span = np.array([rng.choice([0, 0, passages.MIN_WORDS - passages.K]) for _ in range(n)])
+        # places of matching words by pair and diagonal; runs of them
+        there = {(int(q), int(x - y)): set() for q, x, y in zip(pair, pos, ref, strict=True)}
+        for q, x, y, w in zip(pair, pos, ref, span, strict=True):
+            there[int(q), int(x - y)] |= set(range(x, x + w + passages.K))
+        runs = {(q, min(run), min(run) - d, len(run)) for (q, d), at in there.items() for run in [[x + i for i in range(60 + 50) if all(x + k in at for k in range(i + 1))] for x in at if x - 1 not in at]}
+        got = passages.anchors(pair, pos, ref, span)
+        assert {(int(q), int(x), int(y), int(w) + passages.K) for q, x, y, w in zip(*got[:4], strict=True)} == runs and got[4].sum() == n
+
+
+@pytest.mark.parametrize(("n", "m"), [(0, 5), (1, 1), (30, 17), (200, 90), (1001, 1001)])
+def test_common_words_against_a_table(n, m):
+    rng = random.Random(n)
+    a, b = ([rng.randrange(25) for _ in range(x)] for x in (n, m))
+    row = [0] * (m + 1)
+    for x in a:
+        new = [0]
+        for j, y in enumerate(b):
+            new.append(row[j] + 1 if x == y else max(row[j + 1], new[j]))
+        row = new
+    assert passages.common(np.array(a, np.uint64), np.array(b, np.uint64)) == row[-1]
+
+
+def test_common_words_have_no_limit():
+    x = np.arange(30_000, dtype=np.uint64)
+    assert passages.common(x, x) == 30_000 and passages.common(x, np.roll(x, 7)) == 29_993
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_exact_passages_against_all_windows(spark, seed):
+    rng = random.Random(seed)
+    pool = [words(rng, rng.randrange(15, 90)) for _ in range(60)]
+    texts = {i: [w for _ in range(rng.randrange(1, 7)) for w in (rng.choice(pool) if rng.random() < 0.5 else words(rng, rng.randrange(5, 60)))] for i in range(150)}
+    first, size = {}, passages.MIN_WORDS
+    for i, w in sorted(texts.items()):
+        for x in range(len(w) - size + 1):
+            first.setdefault(tuple(w[x : x + size]), i)
+    truth = {(i, x) for i, w in texts.items() for x in range(len(w) - size + 1) if first[tuple(w[x : x + size])] != i}
+    got = {}
+    for r in passages.shared_passages(spark.createDataFrame([(i, " ".join(w)) for i, w in texts.items()], "doc_id long, text string")).collect():
+        a, b = texts[r["doc_id"]][r["start"] : r["end"]], texts[r["ref_id"]][r["ref_start"] : r["ref_end"]]
+        assert r["ref_id"] < r["doc_id"] and passages.common(*(np.array([hash(w) & 0xFFFFFFFF for w in side]) for side in (a, b))) >= r["identity"] * max(len(a), len(b)) - 1e-6
+        got.setdefault(r["doc_id"], set()).update(range(r["start"], r["end"]))
+    assert len(truth) > 500
+    # each repeated run of 40 words is reported, all of it or up to the few words at its ends that no seed must reach
+    assert all(len(got.get(i, set()) & set(range(x, x + size))) >= size - 2 * (passages.WINDOW - 1) for i, x in truth)
+
+
+def test_stage_cuts_rows_of_one_id_by_their_own_texts(spark):
+    rng = random.Random(4)
+    p = " ".join(words(rng, 60))
+    rows = [(1, f"first {p} end"), (3, f"Before. {p} after"), (3, "é " * 2001 + "tail"), (3, f"Before. {p} after"), (3, f"é {p} ü"), (3, None), (None, f"no id {p}"), (None, None)]
+    df = spark.createDataFrame([(*r, 0) for r in rows], "doc_id long, text string, text_key int")
+    got = sorted(((r["doc_id"], r["text"]) for r in passages.stage(spark, df, "").collect()), key=str)
+    assert got == sorted([(1, rows[0][1]), (3, "Before.\nafter"), (3, "é " * 2001 + "tail"), (3, "Before.\nafter"), (3, "é\nü"), (3, None), (None, rows[6][1]), (None, None)], key=str)
+    assert passages.stage(spark, df.where("false"), "").count() == 0
+
+
+@pytest.mark.parametrize(("kind", "length", "identity"), [(k, n, i) for k in ("words in", "words out", "mixed") for n, i in ((50, 0.9), (60, 0.85), (100, 0.85), (200, 0.8))])
+def test_recall_with_words_put_in_and_out(spark, kind, length, identity):
+    rng = random.Random(length)
+    rows, pairs = [], 100
+    for k in range(pairs):
+        own = words(rng, length)
+        copy = list(own)
+        for j in sorted(rng.sample(range(1, length - 1), round(length * (1 - identity))), reverse=True):
+            what = {"words in": 0, "words out": 1}.get(kind, rng.randrange(3))
+            copy[j : j + 1] = [[f"zz{j}", copy[j]], [], [f"zz{j}"]][what]
+        for j, w in enumerate((own, copy)):
+            rows.append((2 * k + j, " ".join(words(rng, 20 + 3 * j) + w + words(rng, 20)), len(w)))
+    got = passages.shared_passages(spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")).collect()
+    assert all(r["doc_id"] == r["ref_id"] + 1 and r["identity"] >= passages.IDENTITY for r in got)
+    size, there = {r[0]: r[2] for r in rows}, {}
+    for r in got:
+        there.setdefault(r["doc_id"], set()).update(range(max(r["start"], 23), min(r["end"], 23 + size[r["doc_id"]])))
+    found = {i for i, at in there.items() if len(at) >= 0.7 * size[i]}
+    print(f"{kind} {length} {identity}: {len(found)}")
+    assert len(found) >= 0.9 * pairs
+
+
 def test_seeds_are_shared_by_common_runs():
     rng = random.Random(9)
     common = words(rng, passages.K + passages.WINDOW - 1)

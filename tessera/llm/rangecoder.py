@@ -1,74 +1,115 @@
 """Adaptive context-mixing range coder for token ids under 65536, in blocks that are coded side by side with numpy.
 
-A frame holds the ids of some documents. They are cut into blocks of equal length (the last may be shorter); each block starts from a fresh
-model, has its own checksum and can be decoded alone. All blocks of a frame advance one id at a time, a lane of an array each.
+A frame holds the ids of some documents. They are cut into blocks of equal length (the last may be shorter); each block starts from the
+frame's first model, has its own checksum and can be decoded alone. All blocks of a frame advance one id at a time, a lane of an array each.
 
-The model of a lane predicts an id in three ways:
-- order 2: the id last seen after the same two ids, order 1: after the same one; each with a confidence from 0 to 7;
-- order 0: 256 slots of recent ids with adaptive frequencies.
-Three adaptive probabilities (of the order-2 confidence, of the order-1 confidence and whether both agree, and of recent hits) are mixed in the
-logistic domain, with weights that learn, to the probability of the order-2 id. Then come the order-1 id, then a slot of order 0, then the id
-itself in 16 bits. A carryless range coder of 64 bits writes words of 16 bits. All arithmetic is on integers, so any machine decodes the same.
+The first model stands in the frame's head: the frequencies of its ids (order 0), and for each id those that often follow it with their
+frequencies (order 1, up to LIST). Within a block the id last seen after the same two ids, with a confidence from 0 to 7, predicts by order 2. An id
+is coded in up to three steps:
+- whether it is the candidate of order 2, or, after two ids not seen together yet, the first of order 1. Three probabilities of that,
+  stretch(p) = ln(p / (1 - p)) each, are mixed with weights that learn: an adaptive one of the confidence (order 2), an adaptive one of the first
+  follower's share and whether it is the candidate (order 1), and the candidate's frequency (order 0);
+- else which follower of order 1 it is, the candidate left out, or none;
+- else which id by order 0.
+A carryless range coder of 64 bits writes words of 16 bits. All arithmetic is on integers, so any machine decodes the same.
 
 Layout of a frame, little-endian: magic, n_docs, n_ids, block, size of what follows but the last checksum; doc_ids (int64), lengths (uint32);
-for each block its bytes and the CRC-32 of its ids as uint16 (uint32 each); the coded words; CRC-32 of all before; a line feed.
+size of the packed first model (uint32) and the model; for each block its bytes and the CRC-32 of its ids as uint16 (uint32 each); the coded words;
+CRC-32 of all before; a line feed. The model, packed by zlib: number of ids (uint32), the ids and their frequencies less one (uint16 each), the
+number of followers of each (uint8), the followers' places among the ids and their frequencies (uint16 each).
 """
 
 from __future__ import annotations
 
 import struct
 import zlib
+from decimal import Decimal
+from functools import cache
 
 import numpy as np
 
-MAGIC = b"TSQ1"
+MAGIC = b"TSQ2"
 HEAD = struct.Struct("<4sIIII")
-BLOCK = 2048
-_S1, _S2 = 10, 11  # bits of the tables of order 1 and 2
-_SLOTS, _REBUILD, _GAIN = 256, 64, 32
+BLOCK = 1024
+#: Followers of an id in the first model; bits that one must save to be listed.
+LIST, WORTH = 63, 40
+_S2 = 10  # bits of a lane's table of order 2
 _BOT, _TOP = np.uint64(1 << 44), np.uint64(1 << 48)
 _U = np.uint64
+#: First probabilities of a candidate of order 2 by its confidence, in 1/65536; first weights in 1/65536.
+_FIRST2 = np.array([4, 8, 16, 26, 34, 40, 46, 54], np.int32) << 10
+_WEIGHTS = (22_000, 36_000, 6_000)
 
 
+@cache
 def _tables() -> tuple[np.ndarray, np.ndarray]:
-    """stretch(p) = ln(p / (1 - p)) for p of 12 bits, in 1/256, and its inverse, by integers from a fixed power series."""
-    squash = np.empty(4096, np.int64)
-    points = [1, 2, 3, 6, 10, 16, 27, 45, 73, 120, 194, 310, 488, 747, 1101, 1546, 2047, 2549, 2994, 3348, 3607, 3785, 3901, 3975, 4024, 4050, 4068, 4079, 4085, 4089, 4092, 4093, 4094]
-    for i in range(4096):
-        d = i - 2048
-        w, at = d & 127, (d >> 7) + 16
-        squash[i] = (points[at] * (128 - w) + points[min(at + 1, 32)] * w + 64) >> 7
+    """stretch for p of 12 bits, in 1/256, and its inverse, 4096 / (1 + exp(-x)), by decimal arithmetic, which is the same everywhere."""
+    squash = np.array([int(4096 / (1 + (Decimal(2048 - i) / 256).exp())) for i in range(4096)])
     stretch = np.searchsorted(squash, np.arange(4096)).clip(1, 4095) - 2048
-    return stretch.astype(np.int32), squash.clip(1, 4090).astype(np.int32)
+    return stretch.astype(np.int32), squash.clip(1, 4095).astype(np.int32)
 
 
-_STRETCH, _SQUASH = _tables()
+class First:
+    """The first model of a frame. Ids are known by their places in `ids`; the place after the last stands for the start of a block."""
 
+    def __init__(self, ids: np.ndarray, freq: np.ndarray, many: np.ndarray, place: np.ndarray, share: np.ndarray):
+        self.ids, self.freq, self.many, self.place, self.share = ids, freq, many.astype(np.int64), place, share
+        many = self.many
+        n = len(ids)
+        self.cum0 = np.concatenate([[0], np.cumsum(freq.astype(np.int64))]).astype(np.uint32)
+        self.by0 = np.repeat(np.arange(n, dtype=np.uint16), freq)
+        row, column = np.repeat(np.arange(n), many), np.arange(len(place)) - np.repeat(np.cumsum(many) - many, many)
+        self.follow = np.full((n + 1, LIST + 1), 0xFFFF, np.uint16)
+        self.follow[row, column] = place
+        size = np.zeros((n + 1, LIST + 1), np.int32)
+        size[row, column] = share
+        size[:, LIST] = 4096 - size.sum(axis=1)
+        self.cum1 = np.zeros((n + 1, LIST + 2), np.int32)
+        np.cumsum(size, axis=1, out=self.cum1[:, 1:])
+        self.cum1 = self.cum1.astype(np.uint16)
+        self.top = np.where(size[:, 0] > 0, self.follow[:, 0], 0xFFFF).astype(np.uint16)
+        self.top_share = size[:, 0].astype(np.uint16)
+        stretch, _ = _tables()
+        self.stretch0 = np.full(1 << 16, stretch[1], np.int32)
+        self.stretch0[:n] = stretch[(freq.astype(np.int64) >> 4).clip(1, 4095)]
 
-class _Model:
-    def __init__(self, lanes: int):
-        self.lane = np.arange(lanes)
-        self.t1, self.t2 = np.zeros(lanes << _S1, np.uint32), np.zeros(lanes << _S2, np.uint32)  # id, and confidence from bit 16 on
-        self.p2, self.p1, self.p0 = (np.full(lanes * n, 1 << 14, np.int32) for n in (8, 16, 8))
-        self.pb = np.full(lanes * 64, 1 << 14, np.int32)
-        self.w = [np.full(lanes, 26_000, np.int32) for _ in range(3)]
-        self.recent = np.zeros(lanes, np.int64)
-        self.slot = np.zeros(lanes * _SLOTS, np.uint16)
-        self.freq = np.ones((lanes, _SLOTS + 1), np.int32)
-        self.freq[:, _SLOTS] = 64
-        self.a, self.b = np.zeros(lanes, np.int64), np.zeros(lanes, np.int64)  # the last id and the one before
+    @staticmethod
+    def of(ids: np.ndarray) -> tuple[First, np.ndarray]:
+        """The model of these ids, and their places in it."""
+        count = np.bincount(ids, minlength=1 << 16)
+        known = np.flatnonzero(count)
+        n, where = len(known), np.zeros(1 << 16, np.uint16)
+        where[known] = np.arange(n)
+        at = where[ids]
+        freq = 1 + count[known] * ((1 << 16) - n) // max(len(ids), 1)
+        if n:
+            freq[int(freq.argmax())] += (1 << 16) - int(freq.sum())
+        pairs = np.sort((at[:-1].astype(np.uint32) << np.uint32(16)) | at[1:])
+        edge = np.flatnonzero(np.concatenate([[True], pairs[1:] != pairs[:-1]])) if len(pairs) else np.zeros(0, np.int64)
+        times = np.diff(np.append(edge, len(pairs)))
+        often = times > 2
+        key, times = pairs[edge][often], times[often]
+        a, x = (key >> np.uint32(16)).astype(np.int64), (key & np.uint32(0xFFFF)).astype(np.int64)
+        good = times * np.log2(times * 65536.0 / (count[known][a] * freq[x])) > WORTH  # bits saved against order 0
+        a, x, times = a[good], x[good], times[good]
+        order = np.lexsort((x, -times, a))
+        a, x, times = a[order], x[order], times[order]
+        rank = np.arange(len(a)) - np.searchsorted(a, a)
+        a, x, times = a[rank < LIST], x[rank < LIST], times[rank < LIST]
+        share = np.maximum(times * 4080 // np.maximum(count[known][a], 1), 1)
+        return First(known.astype(np.uint16), freq.astype(np.uint32), np.bincount(a, minlength=n).astype(np.uint8), x.astype(np.uint16), share.astype(np.uint16)), at
 
-    def rebuild(self) -> None:
-        """Frequencies scaled to a total of 4096 with each at least 1; halved where they pass 16384."""
-        total = self.freq.sum(axis=1, dtype=np.int32)
-        cum = np.zeros((len(self.freq), _SLOTS + 2), np.int32)
-        np.cumsum(self.freq, axis=1, out=cum[:, 1:])
-        cum *= 4096 - _SLOTS - 1
-        cum //= total[:, None]
-        cum += np.arange(_SLOTS + 2, dtype=np.int32)
-        self.cum = cum.reshape(-1)
-        many = np.flatnonzero(total > 1 << 14)
-        self.freq[many] = (self.freq[many] + 1) >> 1
+    def pack(self) -> bytes:
+        parts = (self.ids.astype("<u2"), (self.freq - 1).astype("<u2"), self.many.astype("u1"), self.place.astype("<u2"), self.share.astype("<u2"))
+        return zlib.compress(struct.pack("<I", len(self.ids)) + b"".join(x.tobytes() for x in parts), 6)
+
+    @staticmethod
+    def unpack(data: bytes) -> First:
+        raw = zlib.decompress(data)
+        n = struct.unpack_from("<I", raw)[0]
+        ids, freq, many = np.frombuffer(raw, "<u2", n, 4), np.frombuffer(raw, "<u2", n, 4 + 2 * n), np.frombuffer(raw, "u1", n, 4 + 4 * n)
+        m = int(many.sum())
+        return First(ids, freq.astype(np.uint32) + 1, many, np.frombuffer(raw, "<u2", m, 4 + 5 * n), np.frombuffer(raw, "<u2", m, 4 + 5 * n + 2 * m))
 
 
 def _shift(low, rng, n, words, at, code=None):
@@ -95,10 +136,15 @@ def _shift(low, rng, n, words, at, code=None):
         low[todo], rng[todo] = lo, r
 
 
-def _run(ids: np.ndarray, lengths: np.ndarray, words: np.ndarray, decode: bool) -> np.ndarray:
-    """Code (or decode) the lanes of ids (lane, place), lengths not rising; returns the number of words of each lane."""
-    lanes, steps = ids.shape
-    m = _Model(lanes)
+def _run(first: First, grid: np.ndarray, lengths: np.ndarray, words: np.ndarray, decode: bool) -> np.ndarray:
+    """Code (or decode) the lanes of places in the first model (lane, step), lengths not rising; returns the number of words of each lane."""
+    lanes, steps = grid.shape
+    stretch, squash = _tables()
+    lane = np.arange(lanes)
+    t2 = np.zeros(lanes << _S2, np.uint32)  # place, and confidence from bit 16 on
+    p2 = np.tile(_FIRST2, lanes)
+    p1 = np.tile(np.concatenate([np.full(16, 1 << 11, np.int32), (np.arange(16, dtype=np.int32) << 12) + (1 << 11)]), lanes)
+    weights = [np.full(lanes, w, np.int32) for w in _WEIGHTS]
     low, rng, at = np.zeros(lanes, np.uint64), np.full(lanes, 0xFFFFFFFFFFFFFFFF, np.uint64), np.zeros(lanes, np.int64)
     code = None
     if decode:
@@ -106,130 +152,117 @@ def _run(ids: np.ndarray, lengths: np.ndarray, words: np.ndarray, decode: bool)
         for i in range(4):
             code = code << _U(16) | words[:, i].astype(np.uint64)
         at[:] = 4
-    columns = np.ascontiguousarray(ids.T)
-    base1, base2, base3, base4, base6 = (m.lane << n for n in (_S1, _S2, 3, 4, 6))
+    columns = np.ascontiguousarray(grid.T)
+    base2, base3, base5 = (lane << n for n in (_S2, 3, 5))
+    last, before = np.full(lanes, len(first.ids), np.int64), np.zeros(lanes, np.int64)
+    follow, cum1, cum0, by0 = first.follow, first.cum1, first.cum0, first.by0
+    cum1_flat, step1 = cum1.reshape(-1), LIST + 2
+    share_bucket = (first.top_share >> 8).astype(np.int64)
     for t in range(steps):
         n = int(np.searchsorted(-lengths, -t))  # lanes that have an id here
-        if t % _REBUILD == 0:
-            m.rebuild()
-        a, b = m.a[:n], m.b[:n]
-        mixed_a = a * 40503 & 0xFFFF
-        i1 = base1[:n] + (mixed_a >> (16 - _S1))
-        i2 = base2[:n] + (((mixed_a ^ b * 60493) * 52711 & 0xFFFF) >> (16 - _S2))
-        e1, e2 = m.t1.take(i1), m.t2.take(i2)
-        c1, c2, k1, k2 = e1.astype(np.uint16), e2.astype(np.uint16), (e1 >> np.uint32(16)).astype(np.int64), (e2 >> np.uint32(16)).astype(np.int64)
-        agree = c1 == c2
-        j2, j1, j0, jb = base3[:n] + k2, base4[:n] + (k1 << 1) + agree, base3[:n] + m.recent[:n], base6[:n] + (k1 << 3) + k2
-        q2, q1, q0 = m.p2.take(j2), m.p1.take(j1), m.p0.take(j0)
-        s2, s1, s0 = _STRETCH.take(q2 >> 4), _STRETCH.take(q1 >> 4), _STRETCH.take(q0 >> 4)
-        w2, w1, w0 = m.w[0][:n], m.w[1][:n], m.w[2][:n]
-        fa = _SQUASH.take(((w2 * s2 + w1 * s1 + w0 * s0) >> 16) + 2048, mode="clip")
-        qb = m.pb.take(jb)
-        fb = ((4096 - fa) * (qb >> 4) >> 12).clip(1)
-        fb *= ~agree
-        ua = fa.astype(np.uint64)
-        uab = ua + fb.astype(np.uint64)
-        r = rng[:n] >> _U(12)
+        a, b = last[:n], before[:n]
+        i2 = base2[:n] + (((a * 40503 ^ b * 60493) * 52711 & 0xFFFF) >> (16 - _S2))
+        entry = t2.take(i2)
+        seen, conf = entry.astype(np.uint16), (entry >> np.uint32(16)).astype(np.int64)
+        top = first.top.take(a)
+        cand = np.where(conf > 0, seen, top)
+        agree = cand == top
+        j2, j1 = base3[:n] + conf, base5[:n] + share_bucket.take(a) + (agree << 4)
+        q2, q1 = p2.take(j2), p1.take(j1)
+        s2, s1, s0 = stretch.take(q2 >> 4), stretch.take(q1 >> 4), first.stretch0.take(cand)
+        w2, w1, w0 = weights[0][:n], weights[1][:n], weights[2][:n]
+        p = squash.take(((w2 * s2 + w1 * s1 + w0 * s0) >> 16) + 2048, mode="clip")
+        part = (rng[:n] >> _U(12)) * p.astype(np.uint64)
         if decode:
-            v = code[:n] - low[:n]
-            hit2, hit = v < r * ua, v < r * uab
-            one = hit & ~hit2
-            x = np.where(hit2, c2, c1)
+            hit = code[:n] - low[:n] < part
+            x = cand.copy()
         else:
             x = columns[t, :n]
-            hit2 = x == c2
-            one = (x == c1) & ~agree
-            hit = hit2 | one
-        start = np.where(hit2, _U(0), np.where(one, ua, uab))
-        stop = np.where(hit2, ua, np.where(one, uab, _U(4096)))
-        low[:n] += r * start
-        rng[:n] = r * (stop - start)
+            hit = x == cand
         rest = np.flatnonzero(~hit)
+        rng[:n] = np.where(hit, part, rng[:n] - part)
         if len(rest):
-            row, base = rest * (_SLOTS + 2), rest << 8
-            lo, r = low.take(rest), rng.take(rest) >> _U(12)
+            row = a.take(rest)
+            lo, r = low.take(rest) + part.take(rest), rng.take(rest)
+            out = np.where(agree.take(rest), first.top_share.take(row), 0).astype(np.uint64)  # the candidate is none of the rest
+            r //= _U(4096) - out
             if decode:
                 here = code.take(rest)
-                q = ((here - lo) // r).astype(np.int32)
-                sym = np.where(m.cum.take(row + _SLOTS) <= q, _SLOTS, 0)
-                for step in (128, 64, 32, 16, 8, 4, 2, 1):
-                    try_ = sym + step
-                    sym = np.where(m.cum.take(row + try_, mode="clip") <= q, try_, sym) if step < 128 else np.where((sym == 0) & (m.cum.take(row + step) <= q), step, sym)
-                sym = sym.clip(0, _SLOTS)
-                miss = sym == _SLOTS
-                y = m.slot.take(base + np.minimum(sym, _SLOTS - 1))
+                q = ((here - lo) // r + out).astype(np.uint16)
+                k = (cum1[:, 1 : LIST + 1].take(row, axis=0) <= q[:, None]).sum(axis=1)
+                y = follow.reshape(-1).take(row * (LIST + 1) + k)
             else:
                 y = x.take(rest)
-                s = ((y.astype(np.int64) * 40503) & 0xFFFF) >> 8
-                miss = m.slot.take(base + s) != y
-                sym = np.where(miss, _SLOTS, s)
-            at_sym = row + sym
-            start = m.cum.take(at_sym)
-            size = (m.cum.take(at_sym + 1) - start).astype(np.uint64)
-            lo += r * start.astype(np.uint64)
-            r *= size
-            raw = np.flatnonzero(miss)
-            if len(raw):
-                part = r.take(raw) >> _U(16)
+                same = follow.take(row, axis=0) == y[:, None]
+                same[:, LIST] = True
+                k = same.argmax(axis=1)
+            cell = row * step1 + k
+            start = cum1_flat.take(cell).astype(np.uint64)
+            lo += r * (start - out)
+            r *= cum1_flat.take(cell + 1).astype(np.uint64) - start
+            none = np.flatnonzero(k == LIST)
+            if len(none):
+                piece = r.take(none) >> _U(16)
                 if decode:
-                    y[raw] = ((here.take(raw) - lo.take(raw)) // part).astype(np.uint16)
-                new = y.take(raw)
-                lo[raw] += part * new.astype(np.uint64)
-                r[raw] = part
-                m.slot[base.take(raw) + (((new.astype(np.int64) * 40503) & 0xFFFF) >> 8)] = new
+                    y[none] = by0.take(((here.take(none) - lo.take(none)) // piece).astype(np.int64), mode="clip")
+                z = y.take(none)
+                start = cum0.take(z).astype(np.uint64)
+                lo[none] += piece * start
+                r[none] = piece * (cum0.take(z.astype(np.int64) + 1).astype(np.uint64) - start)
             low[rest], rng[rest] = lo, r
-            m.freq.reshape(-1)[rest * (_SLOTS + 1) + sym] += _GAIN
             if decode:
                 x[rest] = y
         if decode:
             columns[t, :n] = x
         _shift(low, rng, n, words, at, code)
-        goal = hit2.astype(np.int32)
-        err = (goal << 12) - fa
+        goal = hit.astype(np.int32)
+        err = (goal << 12) - p
         for w, s in ((w2, s2), (w1, s1), (w0, s0)):
             w += (s * err) >> 12
         goal <<= 16
-        for p, j, old in ((m.p2, j2, q2), (m.p1, j1, q1), (m.p0, j0, q0)):
-            p[j] = old + ((goal - old) >> 5)
-        two = np.flatnonzero(~hit2 & ~agree)
-        old = qb.take(two)
-        m.pb[jb.take(two)] = old + (((one.take(two).astype(np.int32) << 16) - old) >> 5)
-        m.recent[:n] = (m.recent[:n] << 1 | hit2) & 7
-        wide = x.astype(np.uint32)
-        for table, i, seen, entry, conf in ((m.t2, i2, c2, e2, k2), (m.t1, i1, c1, e1, k1)):
-            # right: one more, up to 7; wrong: half the confidence, and from 1 down the new id takes the place
-            table[i] = np.where(x == seen, entry + (conf < 7) * np.uint32(1 << 16), np.where(conf > 1, entry & np.uint32(0xFFFF) | (conf >> 1).astype(np.uint32) << np.uint32(16), wide | np.uint32(1 << 16)))
-        m.b[:n] = a
-        m.a[:n] = x
+        goal -= goal >> 10
+        p2[j2] = q2 + ((goal - q2) >> 5)
+        p1[j1] = q1 + ((goal - q1) >> 5)
+        # right: one more, up to 7; wrong: half the confidence, and from 1 down the new id takes the place
+        kept = entry & np.uint32(0xFFFF) | (conf >> 1).astype(np.uint32) << np.uint32(16)
+        t2[i2] = np.where((x == seen) & (conf > 0), entry + (conf < 7) * np.uint32(1 << 16), np.where(conf > 1, kept, x.astype(np.uint32) | np.uint32(1 << 16)))
+        before[:n] = a
+        last[:n] = x
     if decode:
-        ids[:] = columns.T
+        grid[:] = columns.T
         return at
     for i in range(4):  # what is left of low
-        words[np.arange(lanes), at] = (low >> _U(48)).astype(np.uint16)
+        words[lane, at] = (low >> _U(48)).astype(np.uint16)
         low <<= _U(16)
         at += 1
     return at
 
 
+def _lengths(n: int, block: int) -> np.ndarray:
+    """Ids of each block."""
+    size = np.full(-(-n // block), block, np.int64)
+    if n:
+        size[-1] = n - block * (len(size) - 1)
+    return size
+
+
 def encode_frame(doc_ids: np.ndarray, lengths: np.ndarray, ids: np.ndarray, block: int = BLOCK) -> bytes:
     """A frame of documents whose ids (uint16) follow one another."""
-    n = len(ids)
-    lanes = -(-n // block)
-    size = np.full(lanes, block, np.int64)
-    if lanes:
-        size[-1] = n - block * (lanes - 1)
+    size = _lengths(len(ids), block)
+    lanes, steps = len(size), int(size.max(initial=0))
+    first, at = First.of(ids)
     padded = np.zeros(lanes * block, np.uint16)
-    padded[:n] = ids
+    padded[: len(ids)] = at
     grid = padded.reshape(lanes, block)
-    steps = int(size.max(initial=0))
     words = np.zeros((lanes, 3 * steps + 12), np.uint16)
-    used = _run(grid[:, :steps], size, words, False) if lanes else np.zeros(0, np.int64)
+    used = _run(first, grid[:, :steps], size, words, False) if lanes else np.zeros(0, np.int64)
     index = np.empty((lanes, 2), "<u4")
     index[:, 0] = 2 * used
-    index[:, 1] = [zlib.crc32(grid[i, : size[i]].astype("<u2").tobytes()) for i in range(lanes)]
+    index[:, 1] = [zlib.crc32(ids[i * block : i * block + n].astype("<u2").tobytes()) for i, n in enumerate(size.tolist())]
     coded = b"".join(words[i, : used[i]].astype("<u2").tobytes() for i in range(lanes))
-    body = doc_ids.astype("<i8").tobytes() + lengths.astype("<u4").tobytes() + index.tobytes() + coded
-    frame = HEAD.pack(MAGIC, len(doc_ids), n, block, len(body)) + body
+    model = first.pack()
+    body = doc_ids.astype("<i8").tobytes() + lengths.astype("<u4").tobytes() + struct.pack("<I", len(model)) + model + index.tobytes() + coded
+    frame = HEAD.pack(MAGIC, len(doc_ids), len(ids), block, len(body)) + body
     return frame + struct.pack("<I", zlib.crc32(frame))
 
 
@@ -239,18 +272,18 @@ def decode_frame(data: bytes, at: int = 0) -> tuple[np.ndarray, np.ndarray, np.n
         raise ValueError("frame cut short")
     magic, docs, n, block, size = HEAD.unpack_from(data, at)
     end = at + HEAD.size + size
-    if magic != MAGIC or len(data) < end + 4 or zlib.crc32(data[at:end]) != struct.unpack_from("<I", data, end)[0]:
+    if magic != MAGIC or len(data) < end + 4 or zlib.crc32(memoryview(data)[at:end]) != struct.unpack_from("<I", data, end)[0]:
         raise ValueError("frame damaged")
     pos = at + HEAD.size
     doc_ids, lengths = np.frombuffer(data, "<i8", docs, pos), np.frombuffer(data, "<u4", docs, pos + 8 * docs)
     pos += 12 * docs
-    lanes = -(-n // block)
+    packed = struct.unpack_from("<I", data, pos)[0]
+    first = First.unpack(data[pos + 4 : pos + 4 + packed])
+    pos += 4 + packed
+    size = _lengths(n, block)
+    lanes, steps = len(size), int(size.max(initial=0))
     index = np.frombuffer(data, "<u4", 2 * lanes, pos).reshape(lanes, 2)
     pos += 8 * lanes
-    size = np.full(lanes, block, np.int64)
-    if lanes:
-        size[-1] = n - block * (lanes - 1)
-    steps = int(size.max(initial=0))
     used = index[:, 0].astype(np.int64) // 2
     words = np.zeros((lanes, int(used.max(initial=0)) + 8), np.uint16)
     for i, w in enumerate(used):
@@ -258,7 +291,8 @@ def decode_frame(data: bytes, at: int = 0) -> tuple[np.ndarray, np.ndarray, np.n
         pos += 2 * int(w)
     grid = np.zeros((lanes, steps), np.uint16)
     if lanes:
-        _run(grid, size, words, True)
+        _run(first, grid, size, words, True)
+        grid = first.ids[np.minimum(grid, len(first.ids) - 1)]
     for i in range(lanes):
         if zlib.crc32(grid[i, : size[i]].astype("<u2").tobytes()) != index[i, 1]:
             raise ValueError(f"block {i} damaged")

@@ -140,6 +140,191 @@ CREATIVE = [
     ("by-nc-nd", "attribution non ?commercial no ?deriv(?:ative)?s?"),
 ]
 
+# Licenses as people write them: identifiers, abbreviations, adjectives, notices. (label, confidence, keyword, pattern)
+PHRASES = [
+    ("mit", 0.8, "mit licensed", r"mit licensed"),
+    ("mit", 0.7, "mit style", r"mit style(?: licen[sc]e)?"),
+    ("mit", 0.7, "mit x11", r"mit x11(?: licen[sc]e)?"),
+    ("mit", 0.7, "expat", r"(?:licensed|released|distributed|available) under (?:the )?expat"),
+    ("mit", 0.7, "under mit", r"(?:licensed|released|distributed|available|published) under mit"),
+    ("mit", 0.7, "mit or apache", r"mit or apache"),
+    ("mit", 0.6, "licen", r"licen[sc]e mit"),
+    ("mit", 0.7, "mit licen", r"license[sd]? under (?:the )?mit licen[sc]e"),
+    ("mit-0", 0.8, "mit 0", r"(?:licensed under|license|the) mit 0"),
+    ("apache-2", 0.8, "apache 2", r"apache 2(?: 0)?(?: licen[sc]ed?)?"),
+    ("apache-2", 0.8, "apache v2", r"apache v2(?: 0)?(?: licen[sc]ed?)?"),
+    ("apache-2", 0.7, "asl 2", r"asl 2(?: 0)?"),
+    ("apache-2", 0.7, "aslv2", r"aslv2"),
+    ("apache-2", 0.8, "apache org licenses", r"apache org licenses license 2(?: 0)?"),
+    ("apache-1.1", 0.7, "apache 1 1", r"apache 1 1"),
+    ("apache", 0.6, "apache licensed", r"apache licensed"),
+    ("apache", 0.6, "apache style", r"apache style(?: licen[sc]e)?"),
+    ("bsd-2-clause", 0.8, "bsd 2 clause", r"bsd 2 clause"),
+    ("bsd-2-clause", 0.8, "2 clause bsd", r"2 clause bsd"),
+    ("bsd-2-clause", 0.8, "two clause bsd", r"two clause bsd"),
+    ("bsd-2-clause", 0.7, "simplified bsd", r"simplified bsd"),
+    ("bsd-3-clause", 0.8, "bsd 3 clause", r"bsd 3 clause"),
+    ("bsd-3-clause", 0.8, "3 clause bsd", r"3 clause bsd"),
+    ("bsd-3-clause", 0.8, "three clause bsd", r"three clause bsd"),
+    ("bsd-3-clause", 0.7, "modified bsd", r"modified bsd"),
+    ("bsd-3-clause", 0.7, "new bsd", r"(?:under|the) new bsd"),
+    ("bsd-4-clause", 0.8, "bsd 4 clause", r"bsd 4 clause"),
+    ("bsd-4-clause", 0.8, "4 clause bsd", r"4 clause bsd"),
+    ("bsd-1-clause", 0.8, "bsd 1 clause", r"bsd 1 clause"),
+    ("bsd", 0.7, "bsd licensed", r"bsd licensed"),
+    ("bsd", 0.6, "bsd style", r"bsd style"),
+    ("bsd", 0.6, "under bsd", r"(?:licensed|released|distributed|available) under bsd"),
+    ("0bsd", 0.8, "0bsd", r"0bsd"),
+    ("0bsd", 0.8, "zero clause bsd", r"(?:bsd )?zero clause bsd"),
+    ("gpl-2", 0.8, "gplv2", r"gplv2(?: 0)?"),
+    ("gpl-3", 0.8, "gplv3", r"gplv3(?: 0)?"),
+    ("gpl-1", 0.8, "gplv1", r"gplv1(?: 0)?"),
+    ("gpl-2", 0.8, "gpl2", r"gpl2"),
+    ("gpl-3", 0.8, "gpl3", r"gpl3"),
+    ("gpl-2-or-later", 0.9, "gpl 2 0 or later", r"gpl 2 0 or later"),
+    ("gpl-3-or-later", 0.9, "gpl 3 0 or later", r"gpl 3 0 or later"),
+    ("gpl-2-or-later", 0.8, "2 of the license or at your option any later version", r"version 2 of the license or at your option any later version"),
+    ("gpl-3-or-later", 0.8, "3 of the license or at your option any later version", r"version 3 of the license or at your option any later version"),
+    ("gpl-2-only", 0.9, "gpl 2 0 only", r"gpl 2 0 only"),
+    ("gpl-3-only", 0.9, "gpl 3 0 only", r"gpl 3 0 only"),
+    ("gpl", 0.7, "gpl licensed", r"gpl licensed"),
+    ("gpl", 0.6, "gpl compatible", r"gpl compatible"),
+    ("gpl", 0.6, "gnu org", r"gnu org (?:licenses|copyleft) gpl"),
+    ("gpl", 0.6, "gpl ed", r"gpl ed"),
+    ("gpl-classpath", 0.9, "classpath exception", r"(?:gpl )?(?:with )?(?:the )?classpath exception"),
+    ("gpl-linking", 0.8, "linking exception", r"gpl (?:\S+ ){0,4}?linking exception"),
+    ("gpl-gcc", 0.8, "gcc runtime library exception", r"gcc runtime library exception"),
+    ("gpl-font", 0.8, "font exception", r"gpl (?:\S+ ){0,4}?font exception"),
+    ("lgpl-2.1", 0.8, "lgplv2 1", r"lgplv2 1"),
+    ("lgpl-2", 0.7, "lgplv2", r"lgplv2"),
+    ("lgpl-3", 0.8, "lgplv3", r"lgplv3"),
+    ("lgpl", 0.7, "lgpl licensed", r"lgpl licensed"),
+    ("lgpl-2.1-or-later", 0.9, "lgpl 2 1 or later", r"lgpl 2 1 or later"),
+    ("agpl-3", 0.8, "agplv3", r"agplv3"),
+    ("agpl-3", 0.8, "agpl3", r"agpl3"),
+    ("agpl-3-or-later", 0.9, "agpl 3 0 or later", r"agpl 3 0 or later"),
+    ("agpl", 0.7, "agpl licensed", r"agpl licensed"),
+    ("mpl-2", 0.8, "mpl 2", r"mpl 2(?: 0)?"),
+    ("mpl-1.1", 0.8, "mpl 1 1", r"mpl 1 1"),
+    ("mpl-2", 0.8, "mplv2", r"mplv2(?: 0)?"),
+    ("mpl-2", 0.8, "mpl was not distributed with this file", r"if a copy of the mpl was not distributed with this file"),
+    ("mpl", 0.6, "mpl", r"(?:licensed|released|distributed|available|covered) (?:under|by) (?:the )?mpl"),
+    ("epl-1", 0.8, "epl 1", r"epl 1(?: 0)?"),
+    ("epl-2", 0.8, "epl 2", r"epl 2(?: 0)?"),
+    ("epl-1", 0.8, "epl v1", r"epl v1(?: 0)?"),
+    ("epl-2", 0.8, "epl v2", r"epl v2(?: 0)?"),
+    ("edl-1", 0.8, "eclipse distribution licen", r"eclipse distribution licen[sc]e(?: v? ?1(?: 0)?)?"),
+    ("cddl-1", 0.8, "cddl 1 0", r"cddl 1 0"),
+    ("cddl-1.1", 0.8, "cddl 1 1", r"cddl 1 1"),
+    ("cddl", 0.6, "cddl", r"(?:under|by) (?:the )?(?:terms of the )?cddl"),
+    ("eupl-1.2", 0.8, "eupl 1 2", r"eupl 1 2"),
+    ("eupl-1.1", 0.8, "eupl 1 1", r"eupl 1 1"),
+    ("eupl", 0.6, "eupl", r"(?:under|by) (?:the )?(?:terms of the )?eupl"),
+    ("artistic-2", 0.8, "artistic 2", r"artistic 2(?: 0)?"),
+    ("artistic-1", 0.8, "artistic 1", r"artistic 1(?: 0)?"),
+    ("artistic-perl", 0.8, "terms as perl", r"(?:under )?the same terms as perl(?: itself| 5)?"),
+    ("ruby", 0.7, "terms as ruby", r"(?:under )?the same terms as ruby"),
+    ("python", 0.7, "terms as python", r"(?:under )?the same terms as python"),
+    ("python-2", 0.8, "psf 2", r"psf 2(?: 0)?"),
+    ("python", 0.7, "psf licen", r"psf licen[sc]e"),
+    ("python-cnri", 0.8, "cnri", r"cnri (?:open source )?(?:python )?licen[sc]e(?: agreement)?"),
+    ("isc", 0.7, "isc licensed", r"isc licensed"),
+    ("zlib", 0.7, "zlib licensed", r"zlib licensed"),
+    ("zlib", 0.7, "altered source versions", r"altered source versions must be plainly marked as such"),
+    ("libpng", 0.8, "libpng licen", r"libpng licen[sc]e(?: version)?(?: 2)?"),
+    ("bsl-1", 0.8, "bsl 1", r"bsl 1(?: 0)?"),
+    ("bsl-1", 0.7, "boost org license", r"boost org license 1 0(?: txt)?"),
+    ("busl-1.1", 0.8, "bsl 1 1", r"bsl 1 1"),
+    ("busl-1.1", 0.8, "busl 1 1", r"busl 1 1"),
+    ("cc0-1", 0.8, "cc zero", r"cc zero"),
+    ("cc0-1", 0.8, "publicdomain zero", r"creativecommons org publicdomain zero(?: 1 0)?"),
+    ("cc0-1", 0.7, "no rights reserved", r"no rights reserved"),
+    ("cc-by", 0.6, "attribution international", r"attribution international"),
+    ("cc-by-4", 0.8, "attribution 4 0 international", r"attribution 4 0 international"),
+    ("cc-by-sa-4", 0.8, "sharealike 4 0 international", r"attribution sharealike 4 0 international"),
+    ("cc-by-nc-4", 0.8, "noncommercial 4 0 international", r"attribution noncommercial 4 0 international"),
+    ("cc-by-nc-sa-4", 0.8, "noncommercial sharealike 4 0 international", r"attribution noncommercial sharealike 4 0 international"),
+    ("cc-by-nc-nd-4", 0.8, "noncommercial noderivatives 4 0 international", r"attribution noncommercial noderivatives 4 0 international"),
+    ("cc-by-nd-4", 0.8, "noderivatives 4 0 international", r"attribution noderivatives 4 0 international"),
+    ("cc-by-sa-3", 0.8, "alike 3 0 unported", r"attribution share ?alike 3 0 unported"),
+    ("cc-by-3", 0.8, "attribution 3 0 unported", r"attribution 3 0 unported"),
+    ("cc", 0.5, "some rights reserved", r"some rights reserved"),
+    ("cc", 0.4, "cc licensed", r"cc licensed"),
+    ("unlicense", 0.8, "unlicense org", r"unlicense org"),
+    ("unlicense", 0.7, "anyone is free to copy modify publish use", r"anyone is free to copy modify publish use compile sell or distribute this software"),
+    ("wtfpl", 0.7, "do what the f", r"do what the f(?: \S+)? you want to"),
+    ("beerware", 0.8, "the beer ware license", r"the beer ware license(?: revision 42)?"),
+    ("beerware", 0.7, "buy me a beer in return", r"you can buy me a beer in return"),
+    ("json", 0.8, "for good not evil", r"the software shall be used for good not evil"),
+    ("openssl", 0.8, "openssl toolkit", r"for use in the openssl toolkit"),
+    ("ssleay", 0.8, "eric young", r"written by eric young"),
+    ("curl", 0.7, "curl licen", r"(?:the )?curl licen[sc]e"),
+    ("icu", 0.7, "icu licen", r"(?:the )?icu licen[sc]e"),
+    ("unicode", 0.7, "unicode licen", r"unicode licen[sc]e(?: agreement)?(?: v3)?"),
+    ("w3c", 0.7, "w3c", r"w3c (?:software|document)(?: and document)?(?: notice and)? licen[sc]e"),
+    ("hpnd", 0.7, "historical permission notice", r"historical permission notice and disclaimer"),
+    ("ftl", 0.7, "freetype", r"(?:the )?freetype (?:project )?licen[sc]e"),
+    ("ijg", 0.7, "independent jpeg group", r"(?:work of the )?independent jpeg group"),
+    ("tcl", 0.7, "tcl", r"tcl(?: tk)? licen[sc]e"),
+    ("ofl-1.1", 0.8, "ofl 1 1", r"(?:sil )?ofl 1 1"),
+    ("ofl", 0.7, "reserved font name", r"with reserved font names?"),
+    ("vim", 0.7, "charityware", r"charityware"),
+    ("mulan-2", 0.8, "mulan psl", r"mulan psl ?v? ?2"),
+    ("ms-pl", 0.8, "ms pl", r"(?:licensed under|license|the) ms pl"),
+    ("ms-rl", 0.8, "ms rl", r"(?:licensed under|license|the) ms rl"),
+    ("afl-3", 0.8, "afl 3", r"afl 3(?: 0)?"),
+    ("osl-3", 0.8, "osl 3", r"osl 3(?: 0)?"),
+    ("zpl-2.1", 0.8, "zpl 2 1", r"zpl 2 1"),
+    ("sspl-1", 0.8, "sspl", r"sspl(?: v?1)?(?: 0)?"),
+    ("elastic-2", 0.8, "elv2", r"elv2"),
+    ("commons-clause", 0.9, "commons clause", r"commons clause(?: licen[sc]e)?(?: condition)?"),
+    ("odbl-1", 0.8, "odbl", r"odbl(?: 1(?: 0)?)?"),
+    ("pddl-1", 0.8, "pddl", r"pddl(?: 1(?: 0)?)?"),
+    ("cdla", 0.8, "community data license agreement", r"community data license agreement(?: permissive| sharing)?"),
+    ("openrail-m", 0.8, "openrail m", r"(?:creativeml )?openrail m"),
+    ("bigscience-rail", 0.8, "bigscience rail", r"bigscience rail(?: licen[sc]e)?(?: v?1 0)?"),
+    ("gemma", 0.7, "gemma terms of use", r"gemma terms of use"),
+    ("fdl-1.3", 0.8, "gfdl 1 3", r"gfdl 1 3"),
+    ("fdl", 0.7, "invariant sections", r"no invariant sections"),
+    ("ogl-uk-3", 0.8, "ogl 3", r"ogl 3(?: 0)?"),
+    ("public-domain", 0.6, "domaine public", r"(?:dans le )?domaine public"),
+    ("public-domain", 0.6, "dominio p", r"dominio p(?:ú|u)blico"),
+    ("public-domain", 0.6, "gemeinfrei", r"gemeinfrei"),
+    ("proprietary", 0.6, "tous droits r", r"tous droits r(?:é|e)serv(?:é|e)s"),
+    ("proprietary", 0.6, "todos los derechos reservados", r"todos los derechos reservados"),
+    ("proprietary", 0.6, "alle rechte vorbehalten", r"alle rechte vorbehalten"),
+    ("proprietary", 0.6, "proprietary and confidential", r"proprietary and confidential"),
+    ("proprietary", 0.6, "is strictly prohibited", r"unauthori[sz]ed (?:copying|use|distribution) (?:\S+ ){0,12}?is strictly prohibited"),
+    ("proprietary", 0.6, "trade secret", r"trade secrets? of"),
+    ("proprietary", 0.5, "end user license agreement", r"end user license agreement"),
+    ("noncommercial", 0.5, "non commercial use only", r"(?:for )?non commercial use only"),
+    ("noncommercial", 0.5, "noncommercial use only", r"(?:for )?noncommercial use only"),
+    ("research-only", 0.5, "research purposes only", r"(?:for )?research purposes only"),
+    ("research-only", 0.5, "academic use only", r"(?:for )?academic use only"),
+    ("personal-use", 0.5, "personal use only", r"(?:for )?personal use only"),
+    ("educational-use", 0.5, "educational use only", r"(?:for )?educational use only"),
+    ("free-use", 0.4, "freely redistribut", r"may be freely redistribut(?:ed|able)"),
+    ("free-use", 0.4, "free for any use", r"free for any use"),
+    ("free-use", 0.4, "royalty free", r"royalty free licen[sc]e"),
+    ("no-warranty", 0.3, "no warranty", r"absolutely no warranty"),
+    ("no-warranty", 0.3, "as is", r"provided as is without"),
+    ("see-license-file", 0.3, "license file", r"see (?:the )?license file"),
+    ("see-license-file", 0.3, "file license", r"see (?:the )?file license"),
+    ("see-license-file", 0.3, "copying", r"see (?:the )?(?:file )?copying"),
+    ("dual", 0.4, "dual licen", r"dual licen[sc]ed?"),
+    ("permissive", 0.3, "permissive", r"permissive(?:ly)? licen[sc]ed?"),
+    ("open-source", 0.3, "open source licen", r"open source licen[sc]es?"),
+]
+
+# What denies a license: names within are no detections. (keyword, pattern)
+DENIALS = [
+    ("not ", r"(?:is|are|was|were|been) not (?:\S+ )?(?:licensed|released|distributed|available|covered|published|provided) (?:under|by) (?:\S+ ){0,7}?(?:licen[sc]es?|[al]?gpl|mpl|epl|cddl|eupl|bsd|mit|apache)(?: licen[sc]es?)?(?: (?:v|version)? ?\d(?: \d)?)?"),
+    ("not ", r"not (?:licensed|released) (?:under|by) (?:\S+ ){0,7}?(?:licen[sc]es?|[al]?gpl|mpl|epl|cddl|eupl|bsd|mit|apache)(?: licen[sc]es?)?(?: (?:v|version)? ?\d(?: \d)?)?"),
+    ("no longer", r"no longer (?:licensed|released|distributed|available|covered|published|provided) (?:under|by) (?:\S+ ){0,7}?(?:licen[sc]es?|[al]?gpl|mpl|epl|cddl|eupl|bsd|mit|apache)(?: licen[sc]es?)?(?: (?:v|version)? ?\d(?: \d)?)?"),
+    ("never", r"never (?:licensed|released|distributed|published) (?:under|by) (?:\S+ ){0,7}?(?:licen[sc]es?|[al]?gpl|mpl|epl|cddl|eupl|bsd|mit|apache)(?: licen[sc]es?)?(?: (?:v|version)? ?\d(?: \d)?)?"),
+    ("incompatible with", r"incompatible with (?:\S+ ){0,7}?(?:licen[sc]es?|[al]?gpl|mpl|epl|cddl|eupl)(?: licen[sc]es?)?(?: (?:v|version)? ?\d(?: \d)?)?"),
+]
+
 VERSION = r"(?: v| version| ver)? ?"
 
 
@@ -159,8 +344,10 @@ def _by_keyword(name: str) -> list[tuple[str, str]]:
 
 @cache
 def rules() -> tuple[Rule, ...]:
-    """All rules in order: signatures, names with a version, identifiers, names alone. A smaller priority wins."""
-    out = [Rule(label, 1, 0.95, keyword, pattern) for label, keyword, pattern in SIGNATURES]
+    """All rules in order: denials (without a label), signatures, names with a version, identifiers and phrases, names alone. A smaller priority wins."""
+    out = [Rule("", 0, 0.0, keyword, pattern) for keyword, pattern in DENIALS]
+    out += [Rule(label, 1, 0.95, keyword, pattern) for label, keyword, pattern in SIGNATURES]
+    out += [Rule(label, 4, confidence, keyword, pattern) for label, confidence, keyword, pattern in PHRASES]
     for label, names, versions in NAMES:
         for v in versions.split():
             out += [Rule(f"{label}-{v}", 2, 0.9, word, rf"(?:{name}){VERSION}{_spoken(v)}(?! \d)") for word, name in _by_keyword(names)]
@@ -201,10 +388,35 @@ class Found(NamedTuple):
     confidence: float
 
 
+def resolved(found: list[Found]) -> list[Found]:
+    """Detections without those whose interval lies within that of one before them, in the order of priority, then length, place and label.
+
+    A Fenwick tree keeps, for each start among those so far, the furthest end of an interval that begins there or before, so each detection takes
+    logarithmic time.
+    """
+    starts = sorted({f.start for f in found})
+    rank = {x: i + 1 for i, x in enumerate(starts)}
+    tree = [-1] * (len(starts) + 1)
+    kept: list[Found] = []
+    for f in sorted(found, key=lambda f: (f.priority, f.start - f.end, f.start, f.label)):
+        x, furthest = rank[f.start], -1
+        while x:
+            furthest = max(furthest, tree[x])
+            x -= x & -x
+        if furthest < f.end:
+            kept.append(f)
+            x = rank[f.start]
+            while x < len(tree):
+                tree[x] = max(tree[x], f.end)
+                x += x & -x
+    return sorted(kept, key=lambda f: (f.start, f.end, f.label))
+
+
 def detections(words: bytes) -> list[Found]:
     """Detections in a text given as words with one space between them and at both ends; starts and ends are bytes.
 
-    Rules run in order; one whose interval lies within that of a detection of smaller or equal priority is suppressed.
+    Rules whose keyword the text has are tried; a detection within another one of smaller or equal priority is suppressed. What a denial covers
+    isn't detected, nor is the denial itself.
     """
     found = []
     for keyword, some in _ready().items():
@@ -212,12 +424,7 @@ def detections(words: bytes) -> list[Found]:
             for rule, pattern in some:
                 own = "own" if pattern.groupindex else 0
                 found += [Found(rule.label, *m.span(own), rule.priority, rule.confidence) for m in pattern.finditer(words)]
-    found.sort(key=lambda f: (f.priority, f.start - f.end, f.start, f.label))
-    kept: list[Found] = []
-    for f in found:
-        if not any(k.start <= f.start and f.end <= k.end for k in kept):
-            kept.append(f)
-    return sorted(kept, key=lambda f: (f.start, f.end, f.label))
+    return [f for f in resolved(found) if f.label]
 
 
 def scan(text: str | None) -> tuple[int, int, int | None, int | None, str, str, float]:
@@ -233,12 +440,15 @@ def scan(text: str | None) -> tuple[int, int, int | None, int | None, str, str,
             base.add(label)
             at = words.find(needle, at + 1)
     found = detections(words) if parts else []
+    best: dict[str, float] = {}
+    for f in found:
+        best[f.label] = max(f.confidence, best.get(f.label, 0.0))
     miss = 1.0
-    for label in {f.label for f in found}:
-        miss *= 1 - max(f.confidence for f in found if f.label == label)
+    for label in sorted(best):
+        miss *= 1 - best[label]
     score = max(1 - miss, 0.9 if base else 0.0)
     first, last = (words.count(b" ", 0, x) for x in (min(starts), max(starts))) if starts else (None, None)
-    return len(parts), len(starts), first, last, ",".join(sorted(base)), ",".join(sorted(base | {f.label for f in found})), score
+    return len(parts), len(starts), first, last, ",".join(sorted(base)), ",".join(sorted(base | set(best))), score
 
 
 def _scan(batches):
@@ -251,7 +461,7 @@ def _scan(batches):
 
 def license_scan(docs: DataFrame) -> DataFrame:
     """doc_id and scan()'s values for each row of docs (doc_id, text; other columns are ignored). A null text is empty: no words,
-    no places, empty labels, score 0. Repeated rows are scanned each; an empty table gives an empty one."""
+    no places, empty labels, score 0. Texts are scanned whole, in time that grows with their length and the logarithm of their detections. Repeated rows are scanned each; an empty table gives an empty one."""
     prepare(docs.sparkSession)
     fields = "doc_id long, n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, score double"
     return docs.selectExpr("cast(doc_id as long) as doc_id", "text").mapInArrow(_scan, fields)

@@ -7,9 +7,10 @@ from pyspark.sql import DataFrame, functions as F
 from .runtime import Scratch
 
 
-def _least(edges: DataFrame) -> DataFrame:
-    """(u, m): the least neighbour of each u. Aggregated before the shuffle, so a hot u is no burden."""
-    return edges.groupBy("u").agg(F.min("v").alias("m"))
+def _least(scratch: Scratch, edges: DataFrame) -> DataFrame:
+    """(u, m): the least neighbour of each u. Aggregated before the shuffle, so a hot u is no burden. Written, so that in a join with it
+    the rows of a hot u can be split."""
+    return scratch.save(edges.groupBy("u").agg(F.min("v").alias("m")), "least")
 
 
 def _star_shaped(edges: DataFrame) -> bool:
@@ -28,11 +29,14 @@ def components(scratch: Scratch, links: DataFrame) -> DataFrame:
     edges = scratch.save(links.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "links")
     while not _star_shaped(edges):
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        large = both.join(_least(both), "u").where("v > u").select(F.col("v").alias("u"), F.least("u", "m").alias("v")).distinct()
-        small = large.join(_least(large), "u")
+        near = _least(scratch, both)
+        large = scratch.save(both.join(near, "u").where("v > u").select(F.col("v").alias("u"), F.least("u", "m").alias("v")).distinct(), "large")
+        far = _least(scratch, large)
+        small = large.join(far, "u")
         small = small.select("u", F.col("m").alias("v")).unionByName(small.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))).distinct()
         after = scratch.save(small, "star")
-        scratch.drop(edges)
+        for old in (edges, near, large, far):
+            scratch.drop(old)
         edges = after
     roots = edges.select(F.col("v").alias("node")).distinct().withColumn("component", F.col("node"))
     return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots)

@@ -29,8 +29,9 @@ HASHES = BANDS * ROWS
 #: Probability at which a pair that is a link may be pruned at one batch.
 MISS = 1e-6
 BLOCK, FIRST = 1024, 8
-#: Shingles by which collisions of 32-bit hashes may hide a link.
-SLACK = 3
+#: Shingles by which collisions of 32-bit hashes may hide a link: so many, and so many more for each (2^16)^2 pairs of shingles. Sets of n and m
+#: shingles have (n + m)^2 / 2^33 collisions in the mean, an eighth of what the second allows.
+SLACK, COLLISIONS = 3, 4
 #: Most documents looked up by a broadcast of their ids (8 bytes each); more are joined by shuffles.
 FEW = 200_000
 _rng = np.random.default_rng(20240229)
@@ -142,6 +143,7 @@ def _cell(least, percent: int):
                 flat, mine = np.concatenate([bags[v] for v in y]), bags[x]
                 hit = mine[np.minimum(np.searchsorted(mine, flat), len(mine) - 1)] == flat
                 both = np.add.reduceat(hit, np.concatenate([[0], np.cumsum(size[y])[:-1]]), dtype=np.int64) + SLACK
+                both += (COLLISIONS * ((size[x] + size[y]) / 65536) ** 2).astype(np.int64)
                 y = y[100 * both >= percent * (size[x] + size[y] - both)]
                 us.append(np.full(len(y), node[x]))
                 vs.append(node[y])
@@ -152,11 +154,14 @@ def _cell(least, percent: int):
 
 def _similar(k: int, percent: int):
     def run(batches):
+        text, b = None, None  # the pairs of one v follow one another: its set is made once for many of them
         for batch in batches:
             u, v = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
-            sets = [[s for part in chunks(batch.column(i).to_pylist()) for s in shingle_sets(part, k)] for i in (2, 3)]
+            sets = [s for part in chunks(batch.column(2).to_pylist()) for s in shingle_sets(part, k)]
             ok = []
-            for a, b in zip(*sets, strict=True):
+            for a, other in zip(sets, batch.column(3).to_pylist(), strict=True):
+                if b is None or other != text:
+                    text, b = other, shingle_sets([*chunks([other])][0], k)[0]
                 both = len(np.intersect1d(a, b, assume_unique=True))
                 ok.append(bool(len(a) and len(b)) and 100 * both >= percent * (len(a) + len(b) - both))
             ok = np.array(ok, bool)
@@ -237,9 +242,18 @@ def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document with the smallest doc_id of each group of near-duplicates."""
-    kept = near_duplicates(docs).where("kept").select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi").select(docs.columns)
+    """Keeps one row of each group of near-duplicates: the one with the smallest doc_id, rows without one last.
+
+    Each row is compared by itself, whatever its doc_id: of rows that share one and have near-duplicate texts one stays, different texts all stay,
+    and rows without a doc_id are kept or dropped as others are. Null texts and those without words are alone in their groups and stay.
+    An empty table gives an empty one.
+    """
+    scratch = Scratch(prepare(spark))
+    rows = scratch.save(docs.withColumn("__row", F.monotonically_increasing_id()), "rows")
+    found = near_duplicates(rows.select(F.col("__row").alias("doc_id"), "text")).select(F.col("doc_id").alias("__row"), "component_id")
+    both = found.join(rows.select("__row", "doc_id"), "__row")
+    kept = both.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "__row")).alias("best")).select(F.col("best.__row").alias("__row"))
+    return rows.join(kept, "__row", "left_semi").select(docs.columns)
 
 
 ORACLE_OP3 = r"""

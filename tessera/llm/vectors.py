@@ -16,9 +16,12 @@ from .runtime import Scratch, prepare, table
 QUERY_BLOCK = 4096
 #: Numbers of segments, coarse to fine.
 LEVELS = (4, 16)
-#: Codewords of each half of the product code, the cap's distance from the origin in standard deviations, least number of filters of a
-#: vector, rows of a block.
-CODEWORDS, CAP, LEAST, CELL = 96, 2.8, 24, 1024
+#: For tables of a few vectors: codewords of each half of the product code, and the cap's distance from the origin in standard deviations.
+CODEWORDS, CAP = 96, 2.8
+#: Vectors of a filter, about, where directions are random, in any larger table, and filters that a pair at the threshold then shares in the mean.
+FILTER, SHARED = 128, 16
+#: Least number of filters of a vector, rows of a block.
+LEAST, CELL = 24, 1024
 
 WHOLE = "embedding is not null and size(embedding) > 0 and not exists(embedding, x -> x is null or isnan(x) or abs(x) = double('infinity'))"
 
@@ -107,6 +110,7 @@ def top_k(queries: DataFrame, candidates: DataFrame, k: int = 5) -> DataFrame:
         part = candidates.mapInArrow(_searcher(sent, k), "query_id long, vec_id long, score long")
         rank = F.expr("row_number() over (partition by query_id order by score desc, vec_id)")
         part = scratch.save(part.withColumn("rank", rank).where(F.col("rank") <= k), f"block{block}")
+        sent.unpersist()
         out = part if out is None else out.unionByName(part)
     return out.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
 
@@ -157,6 +161,35 @@ SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
 """
 
 
+@cache
+def book_size(vectors: int, d: int, threshold: float) -> tuple[int, float]:
+    """Codewords of each half and the cap for a table of so many vectors of d dimensions.
+
+    The cap rises with the table, so that a filter's share of random directions is FILTER / vectors at most, and the codewords with it, so that a pair at
+    the threshold shares SHARED filters in the mean: filters hold as many vectors however large the table, and a vector joins but few more of them.
+    Both follow from the exact distribution of one coordinate of a random direction. Under 8 dimensions there is no room for more filters.
+    """
+    if d < 8 or not 0 < threshold < 1 or vectors * 0.0026 <= FILTER:
+        return CODEWORDS, CAP
+    s = np.linspace(-1, 1, 20_001)
+    with np.errstate(divide="ignore"):
+        density, other = ((1 - s * s) ** ((n - 3) / 2) for n in (d, d - 1))
+    density, other = density / density.sum(), other / other.sum()
+    beyond = np.cumsum(other[::-1])[::-1]  # of a coordinate in d - 1 dimensions
+
+    def shares(cap: float) -> tuple[float, float]:
+        """Of random directions that exceed the cap, and that two vectors at the threshold both exceed."""
+        level = cap / math.sqrt(d)
+        at = s[s >= level][:-1]
+        need = (level - threshold * at) / (math.sqrt(1 - threshold**2) * np.sqrt(1 - at * at))
+        return float(density[s >= level].sum()), float((density[s >= level][:-1] * np.where(need > 1, 0, beyond[np.searchsorted(s, np.clip(need, -1, 1)).clip(max=len(s) - 1)])).sum())
+
+    cap = CAP
+    while shares(cap)[0] * vectors > FILTER and cap < 0.9 * math.sqrt(d):
+        cap += 0.05
+    return max(CODEWORDS, math.ceil(math.sqrt(SHARED / max(shares(cap)[1], 1e-12)))), cap
+
+
 def codebook(n: int, codewords: int) -> list[np.ndarray]:
     """Random codewords for each half of the dimensions; a pair of one from each is a unit vector, a filter's direction."""
     rng = np.random.default_rng(n * 1_000_003 + codewords)
@@ -177,44 +210,53 @@ def rotation(n: int) -> np.ndarray:
 
 def decode(x: np.ndarray, books: list[np.ndarray], cap: float, least: int = LEAST) -> list[np.ndarray]:
     """For each unit row of x the numbers of all filters whose direction it exceeds by the cap, ascending; the `least` best ones at least,
-    since halves of unequal length leave some vectors with few. Codewords of the first half that can't reach the cap with the best of the second are left out before pairs are formed."""
+    since halves of unequal length leave some vectors with few. Only codewords of the first half that reach the cap with the best of the second are
+    paired, each with a beginning of the second's in the order of their products; the best pairs lie among the best of either half."""
     n = x.shape[1]
     level = cap / math.sqrt(n)
     cut = books[0].shape[1]
-    first = x[:, :cut] @ books[0].T
-    second = x[:, cut:] @ books[1].T if len(books) > 1 else np.zeros((len(x), 1))
-    m = second.shape[1]
-    best = second.max(axis=1)
     out = []
-    for i in range(len(x)):
-        a = np.flatnonzero(first[i] + best[i] >= level)
-        hits = np.argwhere(first[i, a][:, None] + second[i][None, :] >= level)
-        codes = a[hits[:, 0]] * m + hits[:, 1]
-        if len(codes) < least:
-            every = (first[i][:, None] + second[i][None, :]).ravel()
-            codes = np.lexsort((np.arange(len(every)), -every))[:least] if len(every) <= least else np.argpartition(-every, least)[:least]
-        out.append(np.sort(codes))
+    for at in range(0, len(x), max(1, (1 << 20) // len(books[0]))):
+        part = x[at : at + max(1, (1 << 20) // len(books[0]))]
+        first = part[:, :cut] @ books[0].T
+        second = part[:, cut:] @ books[1].T if len(books) > 1 else np.zeros((len(part), 1))
+        m = second.shape[1]
+        order = np.argsort(-second, axis=1)
+        for one, two, best in zip(first, second, order, strict=True):
+            falling = -two[best]
+            a = np.flatnonzero(one + two[best[0]] >= level)
+            many = np.searchsorted(falling, one[a] - level, side="right")
+            k = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+            codes = np.repeat(a, many) * m + best[k]
+            if len(codes) < least:
+                head = np.argsort(-one)[:least]
+                some = (one[head][:, None] + two[best[:least]][None, :]).ravel()
+                numbers = (head[:, None] * m + best[:least][None, :]).ravel()
+                codes = numbers[np.lexsort((numbers, -some))[:least]]
+            out.append(np.sort(codes))
     return out
 
 
-def _filters(codewords: int, cap: float):
+def _filters(book):
+    """Each vector as it came, in bytes, with its filters. book: codewords and cap for a number of dimensions."""
+
     def run(batches):
         for batch in batches:
-            nodes, lists = batch.column(0), batch.column(1).to_pylist()
-            filters, node, vec, codes, mult = [], [], [], [], []
-            for n in {len(v) for v in lists}:
-                at = [i for i, v in enumerate(lists) if len(v) == n]
-                x = np.array([lists[i] for i in at], float)
-                scale = np.abs(x).max(axis=1, keepdims=True)
-                unit = x / scale
+            lists = batch.column(1)
+            size, flat = np.diff(lists.offsets.to_numpy()), lists.flatten().to_numpy(zero_copy_only=False)
+            start = np.concatenate([[0], np.cumsum(size)])
+            filters: list[np.ndarray] = [None] * len(size)
+            for n in np.unique(size).tolist():
+                at = np.flatnonzero(size == n)
+                x = flat[start[at][:, None] + np.arange(n)].astype(float)
+                unit = x / np.abs(x).max(axis=1, keepdims=True)
                 unit /= np.linalg.norm(unit, axis=1, keepdims=True)
-                for i, row, own in zip(at, x, decode(unit @ rotation(n), codebook(n, codewords), cap), strict=True):
-                    filters += [n * (1 << 32) + int(f) for f in own]
-                    node += [nodes[i].as_py()] * len(own)
-                    vec += [row.tobytes()] * len(own)
-                    codes += [own.astype(np.int32).tobytes()] * len(own)
-                    mult += [batch.column(2)[i].as_py()] * len(own)
-            yield pa.RecordBatch.from_arrays([pa.array(filters, pa.int64()), pa.array(node, pa.int64()), pa.array(mult, pa.int64()), pa.array(vec, pa.binary()), pa.array(codes, pa.binary())], names=["filter", "node", "mult", "vec", "codes"])
+                codewords, cap = book(n)
+                for i, own in zip(at, decode(unit @ rotation(n), codebook(n, codewords), cap), strict=True):
+                    filters[i] = (n << 40) + own.astype(np.int64)
+            vec = pa.array([flat[a:b].tobytes() for a, b in zip(start[:-1], start[1:], strict=True)], pa.binary())
+            offsets = pa.array(np.concatenate([[0], np.cumsum([len(f) for f in filters])]).astype(np.int32))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), vec, pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(filters) if filters else np.zeros(0, np.int64)))], names=["node", "mult", "vec", "filters"])
 
     return run
 
@@ -235,11 +277,11 @@ def _forest(mask: np.ndarray) -> list[tuple[int, int]]:
     return out
 
 
-def _linked(threshold: float):
+def _linked(threshold: float, kind: str):
     def run(t: pa.Table) -> pa.Table:
         node, mult, block = (t.column(c).to_numpy() for c in ("node", "mult", "block"))
         f, i, j = (t.column(c)[0].as_py() for c in ("filter", "i", "j"))
-        x = np.frombuffer(b"".join(t.column("vec").to_pylist()), float).reshape(len(node), -1)
+        x = np.frombuffer(b"".join(t.column("vec").to_pylist()), kind).reshape(len(node), -1).astype(float)
         x = x / np.abs(x).max(axis=1, keepdims=True)
         norm = np.sqrt((x * x).sum(axis=1))
         cosine = (x @ x.T) / (norm[:, None] * norm[None, :])
@@ -253,13 +295,13 @@ def _linked(threshold: float):
             return pa.table({"u": pa.array([], pa.int64()), "v": pa.array([], pa.int64()), "n": pa.array([], pa.int64())})
         node, mult, mask = node[at], mult[at], mask[np.ix_(at, at)]
         edges = _forest(mask.copy())
-        codes = [np.frombuffer(b, np.int32) for b in t.column("codes").take(pa.array(at)).to_pylist()]
+        codes = [np.array(c, np.int64) for c in t.column("filters").take(pa.array(at)).to_pylist()]
         low = np.unique(np.concatenate(codes))
-        low = low[low < f % (1 << 32)]
+        low = low[low < f]
         if len(low):  # a pair counts in the first of its common filters only
             one = np.zeros((len(at), len(low)), np.float32)
             for r, c in enumerate(codes):
-                one[r, np.searchsorted(low, c[c < f % (1 << 32)])] = 1
+                one[r, np.searchsorted(low, c[c < f])] = 1
             mask = mask & ~(one @ one.T > 0)
         n = mask @ mult
         own = np.flatnonzero(n)
@@ -270,10 +312,11 @@ def _linked(threshold: float):
     return run
 
 
-def near_vectors(rows: DataFrame, threshold: float = 0.9, codewords: int = CODEWORDS, cap: float = CAP) -> DataFrame:
+def near_vectors(rows: DataFrame, threshold: float = 0.9, codewords: int | None = None, cap: float | None = None) -> DataFrame:
     """(vec_id, n_links, component_id, kept) for each row of rows (vec_id, embedding; other columns are ignored).
 
-    Vectors that share a spherical-cap filter after a random rotation are compared by cosine in double precision. Equal vectors form one class with a count, so a
+    Vectors that share a spherical-cap filter after a random rotation are compared by cosine in double precision; filters follow from the number of
+    different vectors (book_size) unless codewords and cap are given. Equal vectors form one class with a count, so a
     large group of copies costs as one vector; a filter's vectors are compared in cells of two blocks of about CELL. A pair with the
     threshold's cosine is missed when no filter holds both; the README has the recall by brute force.
     Null, zero, empty and partly null or non-finite vectors link with nothing, nor do vectors of different lengths.
@@ -281,22 +324,32 @@ def near_vectors(rows: DataFrame, threshold: float = 0.9, codewords: int = CODEW
     """
     spark = prepare(rows.sparkSession)
     scratch = Scratch(spark)
+    kind = "f4" if dict(rows.dtypes)["embedding"] == "array<float>" else "f8"
     rows = rows.select(F.col("vec_id").cast("long").alias("vec_id"), F.expr(f"case when {WHOLE} and exists(embedding, x -> x <> 0) then embedding end").alias("embedding"))
+    if kind == "f8":
+        rows = rows.withColumn("embedding", F.col("embedding").cast("array<double>"))
     classes = scratch.save(rows.where("embedding is not null").groupBy("embedding").agg(F.min("vec_id").alias("node"), F.count("*").alias("mult")), "classes")
     member = rows.join(classes, "embedding", "left").select("vec_id", "node", "mult")
-    hits = scratch.save(classes.where("node is not null").select("node", F.col("embedding").cast("array<double>"), "mult").mapInArrow(_filters(codewords, cap), "filter long, node long, mult long, vec binary, codes binary"), "filters")
-    sizes = hits.groupBy("filter").agg(F.count("*").alias("n")).where("n > 1")
+    size = classes.count()
+
+    def book(d: int) -> tuple[int, float]:
+        return (codewords, cap) if codewords and cap else book_size(size, d, threshold)
+
+    coded = scratch.save(classes.where("node is not null").select("node", "embedding", "mult").mapInArrow(_filters(book), "node long, mult long, vec binary, filters array<long>"), "filters")
+    hits = coded.select("node", F.explode("filters").alias("filter"))
+    sizes = scratch.save(hits.groupBy("filter").agg(F.count("*").alias("n")).where("n > 1"), "sizes")
     cells = (
         hits.join(sizes, "filter")
         .withColumn("blocks", F.ceil(F.col("n") / CELL).cast("int"))
         .withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .select("filter", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "node", "mult", "block", "vec", "codes")
+        .select("filter", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "node", "block")
     )
-    found = scratch.save(cells.groupBy("filter", "i", "j").applyInArrow(_linked(threshold), "u long, v long, n long"), "links")
-    scratch.drop(hits)
-    counts = found.where("v is null").groupBy("u").agg(F.sum("n").alias("far"))
+    found = scratch.save(cells.join(coded, "node").groupBy("filter", "i", "j").applyInArrow(_linked(threshold, kind), "u long, v long, n long"), "links")
+    scratch.drop(coded)
+    counts = scratch.save(found.where("v is null").groupBy("u").agg(F.sum("n").alias("far")), "counts")
     comp = scratch.save(components(scratch, found.where("v is not null").select("u", "v")), "components")
+    scratch.keep(classes, counts, comp)
     out = member.join(counts, member.node == counts.u, "left").join(comp, "node", "left")
     return out.select("vec_id", F.expr("coalesce(far, 0L) + coalesce(mult - 1, 0L)").alias("n_links"), F.coalesce("component", "node", "vec_id").alias("component_id")).withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)))
 

@@ -116,3 +116,20 @@ def test_stage_keeps_columns_and_one_of_each_group(spark):
     df = spark.createDataFrame([(3, text, "a"), (1, text + " more", "b"), (2, "other words here", "c")], "doc_id long, text string, component_id string")
     got = near.stage(spark, df, "")
     assert got.columns == df.columns and sorted(r["doc_id"] for r in got.collect()) == [1, 2]
+
+
+def test_stage_decides_by_row(spark):
+    text, other = " ".join(f"k{i}" for i in range(40)), " ".join(f"m{i}" for i in range(40))
+    rows = [(4, text), (4, text), (4, other), (None, "alone without an id"), (None, text), (None, other + " x"), (9, None), (9, None), (8, ""), (3, text + " more")]
+    df = spark.createDataFrame([(*r, 1) for r in rows], "doc_id long, text string, component_id int").repartition(3)
+    got = sorted(((r["doc_id"], r["text"]) for r in near.stage(spark, df, "").collect()), key=str)
+    assert got == sorted([(3, text + " more"), (4, other), (None, "alone without an id"), (9, None), (9, None), (8, "")], key=str)
+    assert near.stage(spark, df.where("false"), "").count() == 0
+
+
+def test_components_of_a_hub_and_a_path(spark):
+    from tessera.llm import graph, runtime
+
+    links = [(0, i) for i in range(1, 500)] + [(1000 + i, 1001 + i) for i in range(60)] + [(7, 7), (2000, 1060)]
+    got = {r["node"]: r["component"] for r in graph.components(runtime.Scratch(spark), spark.createDataFrame(links, "u long, v long")).collect()}
+    assert got == {i: 0 for i in range(500)} | {1000 + i: 1000 for i in range(61)} | {2000: 1000}

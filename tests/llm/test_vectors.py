@@ -118,6 +118,10 @@ def test_decode_lists_all_filters_over_the_cap():
     x /= np.linalg.norm(x, axis=1, keepdims=True)
     books = vectors.codebook(20, 12)
     all_ = np.array([[np.concatenate([a, b]) @ v for a in books[0] for b in books[1]] for v in x])
+    books_of_many = vectors.codebook(20, 40)
+    for v, codes in zip(x, vectors.decode(x, books_of_many, 9.0, 7), strict=True):  # none over the cap: the best of all pairs
+        every = np.array([np.concatenate([a, b]) @ v for a in books_of_many[0] for b in books_of_many[1]])
+        assert (codes == np.sort(np.argsort(-every)[:7])).all()
     for v, codes in zip(all_, vectors.decode(x, books, 1.5, 5), strict=True):
         expected = np.flatnonzero(v >= 1.5 / np.sqrt(20))
         assert (codes == (expected if len(expected) >= 5 else np.sort(np.argsort(-v)[:5]))).all()
@@ -132,3 +136,31 @@ def test_recall_at_the_threshold():
     books = vectors.codebook(64, vectors.CODEWORDS)
     a, b = (vectors.decode(v, books, vectors.CAP) for v in (x, 0.9 * x + np.sqrt(1 - 0.81) * z))
     assert np.mean([len(np.intersect1d(p, q)) > 0 for p, q in zip(a, b, strict=True)]) >= 0.99
+
+
+@pytest.mark.parametrize("size", [200_000, 10**7, 10**9])
+def test_filters_of_large_tables(size):
+    """Recall stays, a filter's share of random vectors falls with the table, and a vector joins but few more filters."""
+    codewords, cap = vectors.book_size(size, 64, 0.9)
+    rng = np.random.default_rng(5)
+    n = 300
+    x, z = rng.standard_normal((2, n, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    z -= (z * x).sum(axis=1, keepdims=True) * x
+    z /= np.linalg.norm(z, axis=1, keepdims=True)
+    books = vectors.codebook(64, codewords)
+    a, b = (vectors.decode(v, books, cap) for v in (x, 0.9 * x + np.sqrt(1 - 0.81) * z))
+    recall = np.mean([len(np.intersect1d(p, q)) > 0 for p, q in zip(a, b, strict=True)])
+    filters = np.mean([len(p) for p in a])
+    print(f"{size}: {codewords} codewords, cap {cap:.2f}, recall {recall:.3f}, {filters:.0f} filters a vector, {size * filters / codewords**2:.0f} vectors a filter")
+    assert recall >= 0.92 and filters < 120 and size * filters / codewords**2 < 4 * vectors.FILTER
+    assert vectors.book_size(40_000, 64, 0.9) == (vectors.CODEWORDS, vectors.CAP)
+
+
+def test_near_vectors_with_filters_of_a_large_table(spark):
+    rows = planted(6, 64)
+    df = spark.createDataFrame([(i, v) for i, v in rows], "vec_id long, embedding array<double>")
+    codewords, cap = vectors.book_size(10**6, 64, 0.9)
+    got = {r["vec_id"]: r for r in vectors.near_vectors(df, codewords=codewords, cap=cap).collect()}
+    links, _ = brute(rows)
+    assert all(got[i]["n_links"] <= len(links[i]) for i in got) and sum(r["n_links"] for r in got.values()) >= 0.97 * sum(map(len, links.values()))

@@ -41,6 +41,24 @@ def pearson(x: Column, y: Column) -> Column:
     return F.when((F.count(x) >= 3) & (sx >= 1e-8) & (sy >= 1e-8), F.try_divide(F.covar_pop(x, y), sx * sy))
 
 
+def array_pearson(a: Column, b: Column) -> Column:
+    """Correlation of two arrays over the places where both are finite; null with under 3 of them or a (nearly) constant side."""
+    both = F.filter(F.arrays_zip(a.alias("a"), b.alias("b")), lambda z: F.abs(z["a"]) < float("inf"))
+    both = F.filter(both, lambda z: F.abs(z["b"]) < float("inf"))
+    n = F.size(both)
+
+    def mean(f) -> Column:
+        return F.aggregate(both, F.lit(0.0), lambda s, z: s + f(z)) / n
+
+    def of(means: Column) -> Column:
+        ma, mb = means["a"], means["b"]
+        va, vb = mean(lambda z: (z["a"] - ma) * (z["a"] - ma)), mean(lambda z: (z["b"] - mb) * (z["b"] - mb))
+        return F.when((F.sqrt(va) >= 1e-8) & (F.sqrt(vb) >= 1e-8), mean(lambda z: (z["a"] - ma) * (z["b"] - mb)) / F.sqrt(va * vb))
+
+    means = F.struct(mean(lambda z: z["a"]).alias("a"), mean(lambda z: z["b"]).alias("b"))
+    return F.when(n >= 3, of(means))
+
+
 def speed_direction(ratio: Column, tag: Column, rules: dict[str, tuple[str, float]]) -> Column:
     """1 if the duration ratio meets the tag's rule, 0 if not, null without a rule or ratio."""
     out = F.lit(None).cast("int")

@@ -63,9 +63,16 @@ def eval_normalized(c: Column, lang: Column) -> Column:
 
 
 def as_symbols(words: Column, vocabulary: Column) -> Column:
-    """Words as one character each, by their place in the vocabulary (under 20,000 words), so that levenshtein counts words."""
-    code = F.transform(words, lambda w: F.decode(F.unhex(F.lpad(F.hex((F.array_position(vocabulary, w) + 19968).cast("long")), 4, "0")), "UTF-16BE"))
-    return F.array_join(code, "")
+    """Words as one character each, by their place in the vocabulary, so that levenshtein counts words. Code points from U+0100 on but surrogates
+    stand for 1,111,806 words; a larger vocabulary raises an error."""
+
+    def character(w: Column) -> Column:
+        place = F.array_position(vocabulary, w) + 255
+        place = F.when(place >= 0xD800, place + 0x800).otherwise(place)
+        return F.decode(F.unhex(F.lpad(F.hex(place.cast("long")), 8, "0")), "UTF-32")
+
+    code = F.array_join(F.transform(words, character), "")
+    return F.when(F.size(vocabulary) > 0x110000 - 0x900, F.raise_error(F.lit("too many different words"))).otherwise(code)
 
 
 def word_errors(a: Column, b: Column) -> Column:

@@ -26,13 +26,13 @@ FROM (SELECT event_id, event_type, CAST(json_extract_string(props, '$.k') AS BIG
 
 @query(
     "p03_source_row_normalize",
-    """SELECT doc_id AS source_row_index, coalesce(nullif(CASE WHEN doc_id % 3 = 0 THEN '' ELSE lang END, ''), nullif(source, '')) AS audio, substr(text, 1, 40) AS body
+    """SELECT doc_id AS source_row_index, coalesce(nullif(CASE WHEN doc_id % 3 = 0 THEN '' ELSE lang END, ''), nullif(source, '')) AS audio, text AS body
 FROM {documents} WHERE coalesce(nullif(CASE WHEN doc_id % 3 = 0 THEN '' ELSE lang END, ''), nullif(source, '')) IS NOT NULL AND nullif(text, '') IS NOT NULL""",
 )
 def p03(t):
     first = F.when(F.col("doc_id") % 3 == 0, "").otherwise(F.col("lang"))
     rows = t["documents"].select(F.col("doc_id").alias("source_row_index"), X.first_nonempty(first, F.col("source")).alias("audio"), X.nonempty(F.col("text")).alias("text"))
-    return rows.where("audio is not null and text is not null").select("source_row_index", "audio", F.substring("text", 1, 40).alias("body"))
+    return rows.where("audio is not null and text is not null").select("source_row_index", "audio", F.col("text").alias("body"))
 
 
 @query("p04_infer_language", "SELECT doc_id, CASE WHEN text = '' THEN 'auto' WHEN regexp_matches(text, '[一-鿿]') THEN 'zh' ELSE 'en' END AS language FROM {documents}")

@@ -50,13 +50,7 @@ def x05(t):
 
 
 
-@query(
-    "x05_word_error_rate",
-    """WITH n AS (SELECT conv_id, turn, list_filter(string_split(reference, ' '), lambda x: x <> '') AS r, list_filter(string_split(hypothesis, ' '), lambda x: x <> '') AS h FROM {pair_text}),
-v AS (SELECT *, list_distinct(list_concat(r, h)) AS v FROM n),
-s AS (SELECT *, array_to_string(list_transform(r, lambda x: chr(33 + list_position(v, x)::INTEGER)), '') AS a, array_to_string(list_transform(h, lambda x: chr(33 + list_position(v, x)::INTEGER)), '') AS b FROM v)
-SELECT conv_id, turn, round(CASE WHEN len(r) = 0 AND len(h) = 0 THEN 0 WHEN len(r) = 0 THEN 1 ELSE levenshtein(a, b) / len(r) END, 6)::DOUBLE AS err FROM s""",
-)
+@query("x05_word_error_rate")  # DuckDB's levenshtein counts bytes, so words can't be characters there; tests hold it against a table
 def x05_words(t):
     return t["pair_text"].select("conv_id", "turn", F.round(X.error_rate(F.col("reference"), F.col("hypothesis"), _en()), 6).alias("err"))
 
@@ -96,9 +90,9 @@ def x09(t):
 sql_query("x10_same_audio", "SELECT source_row_index, CASE WHEN ref_audio IS NULL OR original_audio IS NULL THEN NULL WHEN coalesce(substr(ref_audio, 3), '') = substr(original_audio, 3) THEN 1 ELSE 0 END AS same FROM {joined}")
 
 
-@query("x11_segments", r"SELECT doc_id, array_to_string(regexp_extract_all(regexp_replace(substr(text, 1, 300), '[\p{P}\p{S}\s]+', '', 'g'), 'the|and|[A-Za-z0-9]+|.'), ' ') AS parts FROM {documents}")
+@query("x11_segments", r"SELECT doc_id, array_to_string(regexp_extract_all(regexp_replace(text, '[\p{P}\p{S}\s]+', '', 'g'), 'the|and|[A-Za-z0-9]+|.'), ' ') AS parts FROM {documents}")
 def x11(t):
-    return t["documents"].select("doc_id", F.array_join(X.segments(F.substring("text", 1, 300), ("the", "and")), " ").alias("parts"))
+    return t["documents"].select("doc_id", F.array_join(X.segments(F.col("text"), ("the", "and")), " ").alias("parts"))
 
 
 @query("x12_syllables", "SELECT doc_id, greatest(len(regexp_extract_all(text, '[一-鿿]')), 1)::INTEGER AS n FROM {documents}")
@@ -197,18 +191,6 @@ sql_query(
     """SELECT item, CASE WHEN n < 3 THEN 'too_short' WHEN least >= 0.2 THEN 'single' WHEN least < -0.3 AND mean < 0 THEN 'multi' WHEN mean < 0 THEN 'suspect' ELSE 'unsure' END AS verdict FROM (SELECT vec_id div 8 AS item, count(*) AS n, min(p_neutral - top1_prob) AS least, avg(p_neutral - top1_prob) AS mean FROM {score} GROUP BY 1)""",
     """SELECT item, CASE WHEN n < 3 THEN 'too_short' WHEN least >= 0.2 THEN 'single' WHEN least < -0.3 AND mean < 0 THEN 'multi' WHEN mean < 0 THEN 'suspect' ELSE 'unsure' END AS verdict FROM (SELECT vec_id // 8 AS item, count(*) AS n, min(p_neutral - top1_prob) AS least, avg(p_neutral - top1_prob) AS mean FROM {score} GROUP BY 1)""",
 )
-sql_query(
-    "v07_audio_health",
-    """SELECT vec_id, round(array_max(a), 6) AS peak, round(sqrt(aggregate(a, 0D, (s, x) -> s + x * x) / size(a)), 6) AS rms, round(size(filter(a, x -> x >= 0.3)) / size(a), 6) AS clip_ratio,
-  round(size(filter(a, x -> x < greatest(1e-4D, 0.02D * array_max(a)))) / size(a), 6) AS silence_ratio FROM (SELECT vec_id, transform(embedding, x -> abs(CAST(x AS DOUBLE))) AS a FROM {embeddings})""",
-    """SELECT vec_id, round(list_max(a), 6) AS peak, round(sqrt(list_sum(list_transform(a, lambda x: x * x)) / len(a)), 6) AS rms, round(len(list_filter(a, lambda x: x >= 0.3)) / len(a), 6) AS clip_ratio,
-  round(len(list_filter(a, lambda x: x < greatest(1e-4, 0.02 * list_max(a)))) / len(a), 6) AS silence_ratio FROM (SELECT vec_id, list_transform(embedding, lambda x: abs(x::DOUBLE)) AS a FROM {embeddings})""",
-)
-sql_query(
-    "v08_tail_silence",
-    """SELECT vec_id, size(a) - coalesce(array_max(transform(filter(sequence(1, size(a)), i -> element_at(a, i) >= greatest(0.01D, 0.01D * array_max(a))), i -> i)), 0) AS tail FROM (SELECT vec_id, transform(embedding, x -> abs(CAST(x AS DOUBLE))) AS a FROM {embeddings})""",
-    """SELECT vec_id, (len(a) - coalesce(list_max(list_filter(range(1, len(a) + 1), lambda i: a[i] >= greatest(0.01, 0.01 * list_max(a)))), 0))::INTEGER AS tail FROM (SELECT vec_id, list_transform(embedding, lambda x: abs(x::DOUBLE)) AS a FROM {embeddings})""",
-)
 sql_query(
     "v09_linear_resample",
     """SELECT vec_id, k, round(lo + (hi - lo) * (x - floor(x)), 5) AS y FROM (SELECT vec_id, k, x, CAST(element_at(embedding, CAST(floor(x) AS INT) + 1) AS DOUBLE) AS lo, CAST(element_at(embedding, least(CAST(floor(x) AS INT) + 2, size(embedding))) AS DOUBLE) AS hi FROM (SELECT vec_id, embedding, k, k * (size(embedding) - 1) / 15D AS x FROM (SELECT vec_id, embedding, explode(sequence(0, 15)) AS k FROM {embeddings})))""",
@@ -226,12 +208,6 @@ def v11(t):
     return s.join(other, "vec_id").select("vec_id", F.round(num.weighted_jaccard(F.col("v9"), F.col("w9")), 6).alias("j"))
 
 
-sql_query(
-    "v13_pair_prosody",
-    """SELECT source_row_index, round(aggregate(p, 0D, (s, x) -> s + x) / size(p), 6) AS proxy FROM (SELECT source_row_index, array_compact(array(e_prob, CASE WHEN source_row_index % 2 = 0 THEN r_prob END, CASE WHEN source_row_index % 3 = 0 THEN o_prob END)) AS p FROM {joined_scored})""",
-    """SELECT source_row_index, round(list_sum(p) / len(p), 6) AS proxy FROM (SELECT source_row_index, list_filter([e_prob, CASE WHEN source_row_index % 2 = 0 THEN r_prob END, CASE WHEN source_row_index % 3 = 0 THEN o_prob END], lambda x: x IS NOT NULL) AS p FROM {joined_scored})""",
-)
-
 sql_query("n01_span_manual", "SELECT doc_id, min(pos) AS first, max(pos) AS last FROM {words} WHERE pos * 100 < 1500 AND (pos + 1) * 100 > 600 GROUP BY doc_id")
 sql_query("n02_span_anchor", "SELECT doc_id, min(pos) AS first FROM {words} WHERE token = 'the' GROUP BY doc_id")
 sql_query("n03_span_filler", "SELECT doc_id, pos FROM {words} WHERE token IN ('of', 'de', 'der')")

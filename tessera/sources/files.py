@@ -331,8 +331,71 @@ def v04(t: Inputs) -> DataFrame:
     return item_clusters(rows, "item", "idx", "v", 0.1)
 
 
-@query("v12_prosody_features")
+# Signals for the audio figures: the elements of an embedding at a rate of 100, silent from the 17th on for a while.
+_SIGNALS = "SELECT vec_id, list_transform(embedding, lambda x, i: CASE WHEN i > 16 AND i <= 16 + vec_id % 32 THEN 0::DOUBLE ELSE x::DOUBLE END) AS x FROM {embeddings}"
+_LEVELS = f"""WITH s AS ({_SIGNALS}), a AS (SELECT vec_id, x, greatest(1e-4, 0.02 * list_aggregate(list_transform(x, lambda v: abs(v)), 'quantile_cont', 0.95)) AS th FROM s),
+f AS (SELECT *, l <= th AS silent FROM (SELECT vec_id, th, k, sqrt((x[k + 1] * x[k + 1] + x[k + 2] * x[k + 2]) / 2 + 1e-12) AS l FROM (SELECT *, unnest(range(0, 63)) AS k FROM a)))"""
+
+
+def _signals(t: Inputs) -> DataFrame:
+    return t["embeddings"].selectExpr("vec_id as id", "transform(embedding, (x, i) -> case when i >= 16 and i < 16 + vec_id % 32 then 0D else cast(x as double) end) as samples")
+
+
+@query(
+    "v07_audio_health",
+    f"""{_LEVELS}, w AS (SELECT vec_id, th, list(l ORDER BY k) FILTER (WHERE k % 2 = 0) AS l FROM f GROUP BY vec_id, th), z AS (SELECT vec_id, list_transform(l, lambda v: v <= th) AS q FROM w)
+SELECT s.vec_id AS id, true AS load_ok, round(list_max(list_transform(x, lambda v: abs(v))), 6) AS peak, round(sqrt(list_sum(list_transform(x, lambda v: v * v)) / 64), 6) AS rms,
+  round(len(list_filter(x, lambda v: abs(v) >= 0.999)) / 64, 6) AS clip_ratio, round(len(list_filter(q, lambda v: v)) / 32, 6) AS silence_ratio, round((coalesce(list_position(q, false), 33) - 1) / 50, 6) AS leading,
+  round((coalesce(list_position(list_reverse(q), false), 33) - 1) / 50, 6) AS trailing, round(sqrt(list_sum(list_transform(x[45:64], lambda v: v * v)) / 20) / sqrt(list_sum(list_transform(x, lambda v: v * v)) / 64), 6) AS tail
+FROM s JOIN z USING (vec_id)""",
+)
+def v07(t: Inputs) -> DataFrame:
+    from . import audio
+
+    r = lambda c, n=None: F.round(c, 6).alias(n or c)
+    out = audio.of_signals(_signals(t), audio.health, 100, audio.HEALTH)
+    return out.select("id", "load_ok", r("peak"), r("rms"), r("clip_ratio"), r("silence_ratio"), r("leading_silence_sec", "leading"), r("trailing_silence_sec", "trailing"), r("tail_rms_ratio", "tail"))
+
+
+@query(
+    "v08_tail_silence",
+    """WITH s AS (SELECT vec_id, list_transform(embedding, lambda x, i: CASE WHEN i > 40 THEN 0::DOUBLE ELSE x::DOUBLE END) AS x FROM {embeddings}),
+p AS (SELECT *, list_max(list_transform(x, lambda v: abs(v))) AS peak FROM s), e AS (SELECT *, 64 - coalesce(list_max(list_filter(range(1, 65), lambda i: abs(x[i]) > greatest(0.01, 0.01 * peak))), 0) AS n FROM p)
+SELECT vec_id AS id, round(peak, 6) AS peak, round(n / 100, 4) AS tail_silence_sec, round_even(n / 64, 4) AS tail_silence_ratio FROM e""",
+)
+def v08(t: Inputs) -> DataFrame:
+    from . import audio
+
+    signals = t["embeddings"].selectExpr("vec_id as id", "transform(embedding, (x, i) -> case when i >= 40 then 0D else cast(x as double) end) as samples")
+    return audio.of_signals(signals, audio.tail_stats, 100, audio.TAIL).select("id", "peak", "tail_silence_sec", "tail_silence_ratio")
+
+
+@query(
+    "v12_prosody_features",
+    f"""{_LEVELS}, g AS (SELECT *, k - row_number() OVER (PARTITION BY vec_id, silent ORDER BY k) AS run FROM f), r AS (SELECT vec_id, count(*) / 100 AS n FROM g WHERE silent GROUP BY vec_id, run HAVING count(*) >= 15),
+p AS (SELECT vec_id, count(*) AS c, sum(n) AS total, avg(n) AS mean, max(n) AS most FROM r GROUP BY vec_id)
+SELECT f.vec_id AS id, round(avg(l), 6) AS rms_mean, round(stddev_pop(l), 6) AS rms_std, round(avg(silent::INTEGER), 6) AS silence_ratio, coalesce(max(c), 0)::INTEGER AS pause_count,
+  round(coalesce(max(total), 0), 6)::DOUBLE AS pause_total_sec, round(coalesce(max(mean), 0), 6)::DOUBLE AS pause_mean_sec, round(coalesce(max(most), 0), 6)::DOUBLE AS pause_max_sec FROM f LEFT JOIN p USING (vec_id) GROUP BY f.vec_id""",
+)
 def v12(t: Inputs) -> DataFrame:
-    from .audio import prosody_features
+    from . import audio
 
-    return prosody_features(t["embeddings"].selectExpr("vec_id as id", "cast(embedding as array<double>) as samples"), 100)
+    out = audio.of_signals(_signals(t), audio.prosody, 100, audio.PROSODY)
+    return out.select("id", *[F.round(c, 6).alias(c) for c in ("rms_mean", "rms_std", "silence_ratio")], "pause_count", *[F.round(c, 6).alias(c) for c in ("pause_total_sec", "pause_mean_sec", "pause_max_sec")])
+
+
+@query(
+    "v13_pair_prosody",
+    f"""{_LEVELS}, c AS (SELECT a.vec_id AS reference, b.vec_id AS target, sum(least(a.silent::INTEGER, b.silent::INTEGER)) AS low, sum(greatest(a.silent::INTEGER, b.silent::INTEGER)) AS high,
+  corr(ln(a.l + 1e-6), ln(b.l + 1e-6)) AS e, avg(b.silent::INTEGER) - avg(a.silent::INTEGER) AS delta FROM f a JOIN f b ON b.vec_id = a.vec_id + 1 AND b.k = a.k GROUP BY 1, 2)
+SELECT reference, target, 1::DOUBLE AS ratio, round(delta, 6) AS pause_ratio_delta, round(CASE WHEN high > 0 THEN low / high END, 6)::DOUBLE AS jaccard, round(e, 6) AS energy, round(CASE WHEN high > 0 THEN (low / high + e) / 2 ELSE e END, 6) AS proxy FROM c""",
+)
+def v13(t: Inputs) -> DataFrame:
+    from functools import partial
+
+    from . import audio
+
+    features = audio.of_signals(_signals(t), partial(audio.prosody, points=63), 100, audio.PROSODY)
+    pairs = t["embeddings"].selectExpr("vec_id as reference", "vec_id + 1 as target").join(t["embeddings"].selectExpr("vec_id as target"), "target").select("reference", "target")
+    r = lambda c, n=None: F.round(c, 6).alias(n or c)
+    return audio.pair_prosody(pairs, features).select("reference", "target", F.col("duration_ratio_tgt_over_ref").alias("ratio"), r("pause_ratio_delta"), r("pause_pattern_jaccard", "jaccard"), r("energy_contour_corr", "energy"), r("prosody_similarity_proxy", "proxy"))

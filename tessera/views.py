@@ -40,7 +40,7 @@ FROM {edit} e JOIN {base_last} b ON e.ref_audio = b.ref_audio""",
     "base_scored": _scores("base", "ro"),
     "words": _WORDS,
     "pair_text": r"""
-SELECT u.conv_id, u.turn, trim(regexp_replace(lower(substr(u.text, 1, 200)), '[^a-z0-9 ]+', ' ')) AS reference, trim(regexp_replace(lower(substr(a.text, 1, 200)), '[^a-z0-9 ]+', ' ')) AS hypothesis
+SELECT u.conv_id, u.turn, trim(regexp_replace(lower(u.text), '[^a-z0-9 ]+', ' ')) AS reference, trim(regexp_replace(lower(a.text), '[^a-z0-9 ]+', ' ')) AS hypothesis
 FROM {conversations} u JOIN {conversations} a ON a.conv_id = u.conv_id AND a.turn = u.turn + 1 WHERE u.role = 'user' AND a.role = 'assistant'""",
     "frames": """
 SELECT user_id, event_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1 AS i, value, value < 5 AS silent FROM {events}""",
@@ -72,7 +72,7 @@ SELECT * FROM {base} QUALIFY row_number() OVER (PARTITION BY ref_audio ORDER BY
     "words": r"""
 SELECT doc_id, (generate_subscripts(w, 1) - 1)::INTEGER AS pos, unnest(w) AS token FROM (SELECT doc_id, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS w FROM {documents})""",
     "pair_text": r"""
-SELECT u.conv_id, u.turn, trim(regexp_replace(lower(substr(u.text, 1, 200)), '[^a-z0-9 ]+', ' ', 'g')) AS reference, trim(regexp_replace(lower(substr(a.text, 1, 200)), '[^a-z0-9 ]+', ' ', 'g')) AS hypothesis
+SELECT u.conv_id, u.turn, trim(regexp_replace(lower(u.text), '[^a-z0-9 ]+', ' ', 'g')) AS reference, trim(regexp_replace(lower(a.text), '[^a-z0-9 ]+', ' ', 'g')) AS hypothesis
 FROM {conversations} u JOIN {conversations} a ON a.conv_id = u.conv_id AND a.turn = u.turn + 1 WHERE u.role = 'user' AND a.role = 'assistant'""",
     "frames": SPARK["frames"],
     "doc_plan": SPARK["doc_plan"],

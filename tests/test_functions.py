@@ -95,3 +95,23 @@ def test_ratio_cosine_pearson(spark):
 def test_segments_keep_known_words(spark):
     df = spark.createDataFrame([("明天 go,后天abc1",)], "t string")
     assert df.select(X.segments(F.col("t"), ("明天", "后天"))).first()[0] == ["明天", "go", "后天", "abc1"]
+
+
+def test_word_errors_over_large_vocabularies(spark):
+    n = 70_000  # past the surrogates
+    a = [f"w{i}" for i in range(n)]
+    v = spark.createDataFrame([(a, [a[5], a[54_000], a[56_500], a[-1], a[5]])], "v array<string>, w array<string>")
+    s = v.select(X.as_symbols(F.col("w"), F.col("v")).alias("s")).first()["s"]
+    assert len(s) == 5 and len(set(s)) == 4 and s[0] == s[4]
+
+
+def test_array_pearson(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(2)
+    a, b = rng.standard_normal((2, 40)).tolist()
+    holes = [float("nan"), None, float("inf"), *a[3:]]
+    rows = [(1, a, b), (2, holes, b), (3, [1.0, 2.0], [3.0, 5.0]), (4, [1.0] * 5, [1.0, 2.0, 3.0, 4.0, 5.0]), (5, None, b)]
+    got = {r["i"]: r["c"] for r in spark.createDataFrame(rows, "i int, a array<double>, b array<double>").select("i", num.array_pearson(F.col("a"), F.col("b")).alias("c")).collect()}
+    assert math.isclose(got[1], np.corrcoef(a, b)[0, 1], rel_tol=1e-9) and math.isclose(got[2], np.corrcoef(a[3:], b[3:])[0, 1], rel_tol=1e-9)
+    assert got[3] is got[4] is got[5] is None

@@ -47,14 +47,34 @@ def test_audio_files(spark, tmp_path):
     h = audio.health(np.array(rows["split_0001_x.wav"]["samples"]), 8000)
     assert h["duration_sec"] == 1.0 and abs(h["silence_ratio"] - 0.5) < 0.02 and abs(h["trailing_silence_sec"] - 0.5) < 0.03
     p = audio.prosody(np.array(rows["split_0001_x.wav"]["samples"]), 8000)
-    assert len(p["energy"]) == 50 and 0.4 < p["pause_ratio"] < 0.6 and p["f0"] is None
+    assert len(p["energy"]) == 200 and abs(p["silence_ratio"] - 0.5) < 0.02 and p["pause_count"] == 1 and abs(p["pause_max_sec"] - 0.5) < 0.02 and p["f0"] is None
     index = files.audio_index(files.listing(spark, f"{tmp_path}/a"), [r"split_(\d+)_", r"bad_(\d+)_"])
     assert sorted(r["idx"] for r in index.collect()) == [1, 2]
 
 
 def test_silence_has_no_level():
     h = audio.health(np.zeros(8000), 8000)
-    assert h["silence_ratio"] == 1.0 and h["rms"] == 0.0 and h["clip_ratio"] == 0.0
+    assert h["silence_ratio"] == 1.0 and h["rms"] < 1e-9 and h["clip_ratio"] == 0.0 and h["leading_silence_sec"] == h["trailing_silence_sec"] == 1.0
+    assert audio.health(np.zeros(0), 8000) == {"load_ok": False, "error": "empty_audio"}
+    with pytest.raises(ValueError):
+        audio.prosody(np.zeros(0), 8000)
+
+
+def test_silence_is_measured_against_samples():
+    # a short loud burst: the 95th percentile of samples is the quiet level, that of frame levels would be higher
+    x = np.concatenate([np.full(7000, 0.002), np.full(1000, 0.5)])
+    h = audio.health(x, 8000)
+    assert h["silence_ratio"] == pytest.approx(43 / 50) and h["leading_silence_sec"] == pytest.approx(0.86) and h["trailing_silence_sec"] == 0
+    x = np.concatenate([np.full(7800, 0.002), np.full(200, 0.5)])
+    assert audio.health(x, 8000)["silence_ratio"] == 0  # 2 % of 0.002 is under the level of every frame
+    assert audio.tail_stats(np.concatenate([np.ones(100), np.full(50, 0.01), np.zeros(50)]), 100)["tail_silence_sec"] == 1.0  # 0.01 isn't over 0.01
+    assert audio.tail_stats(np.zeros(0), 100)["tail_silence_ratio"] is None
+
+
+def test_contours_are_interpolated_between_finite_values():
+    x = np.array([0.0, np.nan, 2.0, 4.0])
+    assert audio.resized(x, 7).tolist() == pytest.approx([0, 0.5, 1, 1.5, 2, 3, 4])
+    assert np.isnan(audio.resized(np.array([1.0, np.nan]), 3)).all()
 
 
 def test_clusters_by_average_link(spark):

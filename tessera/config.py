@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import json
+import os
+from collections.abc import Mapping
 from dataclasses import dataclass, field
+from pathlib import Path
 from types import MappingProxyType
 
 # Defaults of the quality gate.
@@ -67,23 +71,72 @@ SIM_SECTION = MappingProxyType({
 # Target-to-source duration ratios that a speed edit must reach.
 SPEED_RULES = MappingProxyType({"speed_faster": ("max", 0.97), "speed_more_faster": ("max", 0.88), "speed_slower": ("min", 1.03), "speed_more_slower": ("min", 1.12)})
 
-# The first language's sections that the quality gate reads.
+_KEPT = {"same_top1_label": True, "ref_top1_not_neutral": True, "tgt_top1_not_neutral": True, "ref_neutral_max": 0.95, "tgt_neutral_max": 0.95}
+_TRANSFER = {"timbre_speaker_sim_min_wavlm": 0.55, "duration_ratio_min": 0.85, "duration_ratio_max": 1.15, "pause_pattern_jaccard_min": 0.3, "energy_contour_corr_min": 0.4}
+_NEUTRAL_EDIT = {"edited_top1_must_be_neutral": True, "edited_sv_must_be_neutral": False, "ref_top1_not_neutral": True, "ref_neutral_max": 0.95}
+_CROSS = {"same_top1_label": False, "ref_top1_not_neutral": True, "tgt_top1_not_neutral": True, "ref_neutral_max": 0.5, "tgt_neutral_max": 0.5, "speaker_sim_min_wavlm": 0.4}
+_H2 = {"ref_neutral_min": 0.5, "ref_top1_must_be_neutral": True, "edited_top1_must_be_neutral": True, "require_target_more_neutral": True, "target_more_neutral_margin": 0.0, "mode": "ref_to_edited"}
+
+# The first language's sections, for constructors and the quality gate. Instruction pools come with a user's own file.
 ZH = MappingProxyType({
-    "a": {"sim_min": 0.0, "speaker_sim_min_wavlm": 0.5},
-    "bc": {"speaker_sim_min": 0.8, "speaker_sim_min_wavlm": 0.6},
-    "c_mixed": {"speaker_sim_min_wavlm": 0.5},
-    "d": {"speaker_sim_min_wavlm": 0.4},
-    "d_cross_emo": {"speaker_sim_min_wavlm": 0.4},
-    "d_st": {"speaker_sim_min": 0.8, "speaker_sim_min_wavlm": 0.7},
-    "genre": {"speaker_sim_min_wavlm": 0.3},
+    "emotion_filter": {"forbidden_top1_labels": ["unk"]},
+    "a": {"sim_min": 0.0, "speaker_sim_min_wavlm": 0.5, "require_flag_ok": False},
+    "bc": {"edit_whitelist": ["style_radio"], "edited_neutral_min": 0.7, **_NEUTRAL_EDIT, "speaker_sim_min": 0.8, "speaker_sim_min_wavlm": 0.6},
+    "c_mixed": {"original_top1_not_neutral": True, "speaker_sim_min_wavlm": 0.5},
+    "d": {**_KEPT, "cosine_min": 0.95, "speaker_sim_min_wavlm": 0.4},
+    "d_cross_emo": _CROSS,
+    "d_st": {**_KEPT, "cosine_min": 0.95, "speaker_sim_min": 0.8, "speaker_sim_min_wavlm": 0.7},
+    "genre": {"edit_tag_whitelist": ["style_news", "style_chat"], "speaker_sim_min_wavlm": 0.3},
     "genre_conv": {"speaker_sim_min_wavlm": 0.8},
-    "h1": {"sim_min": 0.0, "speaker_sim_min_wavlm": 0.3},
-    "h2": {"speaker_sim_min_wavlm": 0.75, "require_target_more_neutral": True, "target_more_neutral_margin": 0.0},
-    "i": {"timbre_speaker_sim_min_wavlm": 0.55, "duration_ratio_min": 0.85, "duration_ratio_max": 1.15, "pause_pattern_jaccard_min": 0.3, "energy_contour_corr_min": 0.4},
+    "h1": {"sim_min": 0.0, "cosine_min": 0.97, "same_top1_label": True, "speaker_sim_min_wavlm": 0.3},
+    "h2": {**_H2, "source_edit_tag": "style_radio", "p_neutral_min": 0.9, "require_sv_neutral": True, "speaker_sim_min_wavlm": 0.75},
+    "h3": {"negatives_per_anchor": 2, "random_seed": 42},
+    "i": _TRANSFER,
     "j_fast": {"speaker_sim_min_wavlm": 0.7, "require_speed_direction_pass": True},
     "j_slow": {"speaker_sim_min_wavlm": 0.7, "require_speed_direction_pass": True},
 })
 
+# The second language's sections.
+EN = MappingProxyType({
+    "emotion_filter": {"forbidden_top1_labels": ["unk"]},
+    "a": {"sim_min": 0.0, "speaker_sim_min_wavlm": 0.55, "require_flag_ok": False},
+    "bc": {"edit_whitelist": ["style_chat"], "edited_neutral_min": 0.3, **_NEUTRAL_EDIT, "speaker_sim_min": 0.7, "speaker_sim_min_wavlm": 0.55},
+    "c_mixed": {"original_top1_not_neutral": True, "speaker_sim_min_wavlm": 0.4},
+    "d": {**_KEPT, "cosine_min": 0.93, "speaker_sim_min_wavlm": 0.4},
+    "d_cross_emo": _CROSS,
+    "d_st": {**_KEPT, "cosine_min": 0.95, "speaker_sim_min": 0.7, "speaker_sim_min_wavlm": 0.55},
+    "genre": {"edit_tag_whitelist": ["style_news", "style_radio"], "speaker_sim_min_wavlm": 0.55},
+    "genre_conv": {"speaker_sim_min_wavlm": 0.55},
+    "h1": {"sim_min": 0.0, "cosine_min": 0.95, "same_top1_label": True, "speaker_sim_min_wavlm": 0.55},
+    "h2": {**_H2, "source_edit_tag": "style_chat", "p_neutral_min": 0.5, "require_sv_neutral": False, "speaker_sim_min_wavlm": 0.55},
+    "h3": {"negatives_per_anchor": 1, "random_seed": 42},
+    "i": _TRANSFER,
+    "j_fast": {"speaker_sim_min_wavlm": 0.55, "require_speed_direction_pass": True},
+    "j_slow": {"speaker_sim_min_wavlm": 0.55, "require_speed_direction_pass": True},
+})
+
+#: Environment variables that take the place of a path in a configuration file.
+PATH_VARIABLES = MappingProxyType({"VCDATA_ROOT": "vcdata_root", "EMOTION_EVAL_ROOT": "emotion_eval_root", "PAIR_OUTPUTS_ROOT": "outputs_root"})
+
+
+def load_config(path: str | None = None, environment: Mapping[str, str] | None = None, defaults: Mapping = ZH) -> dict:
+    """Sections of a YAML or JSON file: the path given, else that of PAIR_CONFIG, else the defaults; `paths` of PATH_VARIABLES override the file's."""
+    environment = os.environ if environment is None else environment
+    path = path or environment.get("PAIR_CONFIG")
+    if path is None:
+        out = {k: dict(v) for k, v in defaults.items()}
+    else:
+        text = Path(path).read_text(encoding="utf-8")
+        if path.endswith(".json"):
+            out = json.loads(text)
+        else:
+            import yaml  # only for YAML files
+
+            out = yaml.safe_load(text) or {}
+    paths = dict(out.get("paths") or {})
+    paths |= {name: environment[key] for key, name in PATH_VARIABLES.items() if environment.get(key)}
+    return out | {"paths": paths}
+
 
 @dataclass(frozen=True)
 class Gate:

@@ -8,6 +8,8 @@ import pandas as pd
 from pyspark.sql import Column, functions as F
 
 HAN = "[\\u4e00-\\u9fff]"
+# Fixed value: what is no part of a word in alignments, as a class of characters.
+PUNCTUATION = r"\s，。！？、；：,.!?;:\"'“”‘’（）()【】\[\]《》<>"
 
 
 def nonempty(c: Column) -> Column:
@@ -121,10 +123,15 @@ def nfkc(c: Column) -> Column:
     return run(c)
 
 
+def unpunctuated(c: Column) -> Column:
+    """Without white space and punctuation; null is empty."""
+    return F.regexp_replace(F.coalesce(c, F.lit("")), f"(?U)[{PUNCTUATION}]+", "")
+
+
 def segments(c: Column, words: tuple[str, ...]) -> Column:
-    """Known words, runs of letters and digits, else single characters; white space and punctuation are dropped."""
-    clean = F.regexp_replace(F.coalesce(c, F.lit("")), r"[\p{P}\p{S}\s]+", "")
-    return F.regexp_extract_all(clean, F.lit(f"({'|'.join([*words, '[A-Za-z0-9]+', '.'])})"), F.lit(1))
+    """Known words, runs of ASCII letters and digits, else single characters; white space and punctuation are dropped."""
+    clean = unpunctuated(c)
+    return F.regexp_extract_all(clean, F.lit(f"(?s)({'|'.join([*words, '[A-Za-z0-9]+', '.'])})"), F.lit(1))
 
 
 def syllables(c: Column) -> Column:

@@ -40,7 +40,6 @@ def h23(t):
 sql_query("h24_tag_scores", "SELECT vec_id, 'dual' AS grp, concat('s/', CAST(vec_id AS STRING)) AS source_path FROM {score}", "SELECT vec_id, 'dual' AS grp, 's/' || vec_id AS source_path FROM {score}")
 sql_query("h25_link_names", "SELECT page_id, concat(substr(sha1(url), 1, 16), CASE WHEN url LIKE '%.wav' THEN '' ELSE '.wav' END) AS link FROM {pages}")
 sql_query("h26_zip_timestamps", "SELECT n_nationkey, count(*) AS kept FROM (SELECT n_nationkey, explode(filter(arrays_zip(split(n_name, '') AS ch, sequence(1, length(n_name) + 2) AS ts), x -> x.ch IS NOT NULL AND x.ch <> '')) AS z FROM {nation}) GROUP BY n_nationkey".replace("split(n_name, '') AS ch, sequence(1, length(n_name) + 2) AS ts), x -> x.ch IS NOT NULL AND x.ch <> ''", "split(n_name, ''), sequence(1, length(n_name) + 2)), x -> x['0'] IS NOT NULL AND x['0'] <> ''"), "SELECT n_nationkey, length(n_name) AS kept FROM {nation}")
-sql_query("h27_backend_fallback", "SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN 'first' WHEN doc_id % 3 = 1 THEN 'second' ELSE 'fallback' END AS backend FROM {documents}")
 sql_query("h28_duration_ms", "SELECT doc_id, coalesce(CAST(bround(try_divide(n_chars * 1000, CASE WHEN doc_id % 9 = 0 THEN 0 ELSE 160 END)) AS BIGINT), 0) AS ms FROM {documents}", "SELECT doc_id, coalesce(CAST(round_even(n_chars * 1000 / nullif(CASE WHEN doc_id % 9 = 0 THEN 0 ELSE 160 END, 0), 0) AS BIGINT), 0) AS ms FROM {documents}")
 sql_query("h30_name_resolution", "SELECT n.n_nationkey, coalesce(min(CASE WHEN r.r_name = n.n_name THEN r.r_regionkey END), min(CASE WHEN n.n_name LIKE concat('%', r.r_name, '%') THEN r.r_regionkey END), -1) AS region FROM {nation} n JOIN {region} r ON r.r_regionkey = n.n_regionkey GROUP BY n.n_nationkey")
 sql_query("h31_listening_sample", "SELECT original_idx, concat('file://', original_audio) AS src FROM {base} WHERE original_idx < 50")

@@ -6,30 +6,43 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 
 def last_wins(df: DataFrame, keys: list[str], ordinal: str) -> DataFrame:
-    """One row of each key: the one with the largest ordinal."""
-    w = Window.partitionBy(*keys).orderBy(F.col(ordinal).desc())
-    return df.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
+    """One row of each key: the one with the largest ordinal, null before all. Reduced before the shuffle, so a hot key is no burden."""
+    row = F.max_by(F.struct(*[F.col(c) for c in df.columns]), F.struct(F.col(ordinal).isNotNull(), F.col(ordinal)))
+    return df.groupBy(*[F.col(k).alias(f"_key_{k}") for k in keys]).agg(row.alias("_row")).select("_row.*")
 
 
 def first_wins(df: DataFrame, keys: list[str], ordinal: str) -> DataFrame:
-    """One row of each key: the one with the smallest ordinal."""
-    w = Window.partitionBy(*keys).orderBy(F.col(ordinal).asc())
-    return df.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
+    """One row of each key: the one with the smallest ordinal, null before all. Reduced before the shuffle, so a hot key is no burden."""
+    row = F.min_by(F.struct(*[F.col(c) for c in df.columns]), F.struct(F.col(ordinal).isNotNull(), F.col(ordinal)))
+    return df.groupBy(*[F.col(k).alias(f"_key_{k}") for k in keys]).agg(row.alias("_row")).select("_row.*")
 
 
-def numbered(df: DataFrame, ordinal: str, name: str, width: int = 65536) -> DataFrame:
+def numbered(df: DataFrame, ordinal: str, name: str, width: int = 65536, sparse: bool = False) -> DataFrame:
     """df with gap-free numbers from 0 in the order of a unique non-negative ordinal.
 
     Rows are numbered within ranges of `width` ordinals, and a running count of the ranges is added: no task gets more than a range,
-    and the one ordered pass is over a row for each range.
+    and the one ordered pass is over a row for each range. File-order ordinals are dense; for sparse ones, such as hashes or timestamps, the ranges
+    are as wide as rows are apart (an aggregate of one row), so that they hold about `width` rows again.
     """
     part = (F.col(ordinal) / width).cast("long")
+    if sparse:
+        all_ = df.agg(F.min(ordinal).alias("_least"), ((F.max(ordinal) - F.min(ordinal)) / F.greatest(F.count("*") / width, F.lit(1.0))).alias("_wide"))
+        df = df.join(F.broadcast(all_))  # one row
+        part = F.floor((F.col(ordinal) - F.col("_least")) / F.greatest(F.col("_wide"), F.lit(1.0))).cast("long")
     df = df.withColumn("_part", part)
     counts = df.groupBy("_part").agg(F.count("*").alias("_n"))
     before = F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     counts = counts.select("_part", before.alias("_before"))
     own = F.row_number().over(Window.partitionBy("_part").orderBy(ordinal)) - 1
-    return df.withColumn("_own", own).join(counts, "_part").withColumn(name, (F.col("_own") + F.col("_before")).cast("long")).drop("_own", "_before", "_part")
+    return df.withColumn("_own", own).join(counts, "_part").withColumn(name, (F.col("_own") + F.col("_before")).cast("long")).drop("_own", "_before", "_part", "_least", "_wide")
+
+
+def ordered_part(df: DataFrame, column: str, parts: int = 256) -> Column:
+    """A number that rises with the column's value, for as many parts of about equal numbers of distinct values: its place among the values with the
+    least hashes, `parts` of them, which are read once."""
+    some = df.select(column).where(F.col(column).isNotNull()).distinct().orderBy(F.xxhash64(column)).limit(parts)
+    cuts = sorted(r[0] for r in some.collect())
+    return F.size(F.filter(F.array(*map(F.lit, cuts)), lambda x: x <= F.col(column))) if cuts else F.lit(0)
 
 
 def resume(jobs: DataFrame, done: DataFrame, keys: list[str]) -> DataFrame:

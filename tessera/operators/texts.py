@@ -1,4 +1,4 @@
-"""Scalar text functions (x01-x24), vector operators (v01-v13) and span selection (n01-n05) as queries."""
+"""Scalar text functions (x01-x24), and vector operators (v01-v11) as queries."""
 
 from __future__ import annotations
 
@@ -90,7 +90,10 @@ def x09(t):
 sql_query("x10_same_audio", "SELECT source_row_index, CASE WHEN ref_audio IS NULL OR original_audio IS NULL THEN NULL WHEN coalesce(substr(ref_audio, 3), '') = substr(original_audio, 3) THEN 1 ELSE 0 END AS same FROM {joined}")
 
 
-@query("x11_segments", r"SELECT doc_id, array_to_string(regexp_extract_all(regexp_replace(text, '[\p{P}\p{S}\s]+', '', 'g'), 'the|and|[A-Za-z0-9]+|.'), ' ') AS parts FROM {documents}")
+_PUNCTUATION = X.PUNCTUATION.replace("'", "''")
+
+
+@query("x11_segments", rf"SELECT doc_id, array_to_string(regexp_extract_all(regexp_replace(text, '[{_PUNCTUATION}]+', '', 'g'), 'the|and|[A-Za-z0-9]+|.'), ' ') AS parts FROM {{documents}}")
 def x11(t):
     return t["documents"].select("doc_id", F.array_join(X.segments(F.col("text"), ("the", "and")), " ").alias("parts"))
 
@@ -206,18 +209,3 @@ def v11(t):
     s = t["score"]
     other = s.select((F.col("vec_id") - 1).alias("vec_id"), F.col("v9").alias("w9"))
     return s.join(other, "vec_id").select("vec_id", F.round(num.weighted_jaccard(F.col("v9"), F.col("w9")), 6).alias("j"))
-
-
-sql_query("n01_span_manual", "SELECT doc_id, min(pos) AS first, max(pos) AS last FROM {words} WHERE pos * 100 < 1500 AND (pos + 1) * 100 > 600 GROUP BY doc_id")
-sql_query("n02_span_anchor", "SELECT doc_id, min(pos) AS first FROM {words} WHERE token = 'the' GROUP BY doc_id")
-sql_query("n03_span_filler", "SELECT doc_id, pos FROM {words} WHERE token IN ('of', 'de', 'der')")
-sql_query(
-    "n04_span_regex",
-    """WITH o AS (SELECT doc_id, pos, sum(length(token)) OVER (PARTITION BY doc_id ORDER BY pos) - length(token) AS a, sum(length(token)) OVER (PARTITION BY doc_id ORDER BY pos) AS b FROM {words}),
-j AS (SELECT doc_id, regexp_replace(text, '[\\\\x20\\\\x09-\\\\x0D]+', '') AS s FROM {documents}), m AS (SELECT doc_id, instr(s, 'andthe') - 1 AS s FROM j WHERE instr(s, 'andthe') > 0)
-SELECT o.doc_id, min(o.pos) AS first, max(o.pos) AS last FROM o JOIN m ON m.doc_id = o.doc_id WHERE m.s < o.b AND m.s + 6 > o.a GROUP BY o.doc_id""".replace("\\\\\\\\", "\\\\"),
-    r"""WITH o AS (SELECT doc_id, pos, sum(length(token)) OVER (PARTITION BY doc_id ORDER BY pos) - length(token) AS a, sum(length(token)) OVER (PARTITION BY doc_id ORDER BY pos) AS b FROM {words}),
-j AS (SELECT doc_id, regexp_replace(text, '[\x20\x09-\x0D]+', '', 'g') AS s FROM {documents}), m AS (SELECT doc_id, instr(s, 'andthe') - 1 AS s FROM j WHERE instr(s, 'andthe') > 0)
-SELECT o.doc_id, min(o.pos) AS first, max(o.pos) AS last FROM o JOIN m ON m.doc_id = o.doc_id WHERE m.s < o.b AND m.s + 6 > o.a GROUP BY o.doc_id""",
-)
-sql_query("n05_align_fallback", "SELECT doc_id, count(*) AS n_words, 10000 AS total_ms, coalesce(max(CASE WHEN doc_id < 0 THEN 'aligner' END), 'fallback') AS backend FROM {words} GROUP BY doc_id")

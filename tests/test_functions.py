@@ -115,3 +115,63 @@ def test_array_pearson(spark):
     got = {r["i"]: r["c"] for r in spark.createDataFrame(rows, "i int, a array<double>, b array<double>").select("i", num.array_pearson(F.col("a"), F.col("b")).alias("c")).collect()}
     assert math.isclose(got[1], np.corrcoef(a, b)[0, 1], rel_tol=1e-9) and math.isclose(got[2], np.corrcoef(a[3:], b[3:])[0, 1], rel_tol=1e-9)
     assert got[3] is got[4] is got[5] is None
+
+
+def turns(spark, sf):
+    """Consecutive user and assistant turns as the views give them, by plain Python."""
+    import re
+
+    rows = {(r["conv_id"], r["turn"]): r for r in spark.read.parquet(f"{sf}/conversations.parquet").collect()}
+    plain = lambda t: re.sub("[^a-z0-9 ]+", " ", t.lower()).strip(" ")
+    return {k: (plain(r["text"]), plain(rows[k[0], k[1] + 1]["text"])) for k, r in rows.items() if r["role"] == "user" and (k[0], k[1] + 1) in rows and rows[k[0], k[1] + 1]["role"] == "assistant"}
+
+
+def score(reference, heard):
+    return None if not reference or not heard else max(0.0, 1 - model_distance(reference, heard) / len(reference))
+
+
+def test_queries_over_transcripts_against_plain_versions(spark, sf):
+    from tessera.registry import QUERIES
+
+    pairs = turns(spark, sf)
+    assert len(pairs) > 20 and max(len(a) for a, _ in pairs.values()) > 200
+    run = lambda name: {(r["conv_id"], r["turn"]): r for r in QUERIES[name](spark, sf).collect()}
+    words, mismatch, repeats, cut, against = (run(n) for n in ("x05_word_error_rate", "q04_transcript_mismatch", "q06_repetition", "q07_truncation", "x08_repetition_against_expected"))
+    assert set(words) == set(mismatch) == set(repeats) == set(cut) == set(against) == set(pairs)
+    for (conv, turn), (a, b) in pairs.items():
+        k, e, h = (conv, turn), a.split(), b.split()
+        assert math.isclose(words[k]["err"], round(0.0 if not e and not h else 1.0 if not e else model_distance(e, h) / len(e), 6), abs_tol=2e-6)
+        s = score(e, h)
+        flags = ["tgt_asr_error"] * (turn % 3 == 0) + ["tgt_asr_mismatch"] * (s is not None and s < 0.65)
+        dense = len(e) / 5 > 4.5
+        runs, loops = (lambda x: model_run(x) >= 4 and model_run(x) >= model_run(e) + 2), (lambda x: model_repeat(x) >= 3 and model_repeat(x) >= model_repeat(e) + 1)
+        own = lambda x: ["tgt_asr_stutter_suspect"] * bool(x and runs(x)) + ["tgt_asr_loop_suspect"] * bool(x and loops(x))
+        ref_dense = ["ref_text_density_high"] * (len(e) / 30 > 4.5)
+        truncated = ["tgt_truncation_suspect"] * (s is not None and s < 0.65)  # the tail is abrupt on all of them
+        floor = ["speaker_sim_missing"]
+        assert mismatch[k]["flags"] == "|".join([*flags, *ref_dense, *["tgt_text_density_high"] * dense, *own(h), *truncated, *floor]), k
+        heard = " ".join([b.split(" ")[0]] * (turn % 6) + [b]).split() if turn % 6 else h
+        s = score(e, heard)
+        assert repeats[k]["flags"] == "|".join(own(heard))
+        assert cut[k]["flags"] == "|".join(["tgt_truncation_suspect"] * (s is not None and s < 0.65 and (turn % 2 == 0 or dense)))
+        three = h * 3
+        assert against[k]["run"] == model_run(three) and against[k]["loops"] == (model_repeat(three) > model_repeat(e))
+
+
+def test_item_clusters_against_a_plain_version(spark, sf):
+    import numpy as np
+
+    from tessera.registry import QUERIES
+
+    rows = {r["vec_id"]: np.array(r["embedding"], float) for r in spark.read.parquet(f"{sf}/embeddings.parquet").collect()}
+    got = {(r["item"], r["idx"]): r["cluster"] for r in QUERIES["v04_item_clusters"](spark, sf).collect()}
+    assert set(got) == {(i // 8, i) for i in rows}
+    for item in {i // 8 for i in rows}:
+        groups = [frozenset([i]) for i in rows if i // 8 == item]
+        cos = lambda x, y: float(rows[x] @ rows[y] / np.linalg.norm(rows[x]) / np.linalg.norm(rows[y]))
+        while len(groups) > 1:
+            mean, a, b = max((np.mean([cos(x, y) for x in a for y in b]), a, b) for n, a in enumerate(groups) for b in groups[:n])
+            if mean < 0.1:
+                break
+            groups = [g for g in groups if g not in (a, b)] + [a | b]
+        assert {frozenset(i for i in rows if i // 8 == item and got[item, i] == c) for c in {got[item, i] for i in rows if i // 8 == item}} == set(groups)

@@ -6,6 +6,7 @@ import re
 from functools import cache
 from typing import NamedTuple
 
+import ahocorasick
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
@@ -373,11 +374,16 @@ def rules() -> tuple[Rule, ...]:
 
 
 @cache
-def _ready() -> dict[bytes, list[tuple[Rule, re.Pattern]]]:
-    gated: dict[bytes, list] = {}
+def _ready() -> tuple[ahocorasick.Automaton, list[list[tuple[Rule, re.Pattern]]]]:
+    """The automaton that finds all keywords in one pass (over bytes as characters of Latin-1), and each keyword's rules."""
+    gated: dict[str, list] = {}
     for rule in rules():
-        gated.setdefault(rule.keyword.encode(), []).append((rule, re.compile(rb"(?<= )(?:" + rule.pattern.encode() + rb")(?= )")))
-    return gated
+        gated.setdefault(rule.keyword.encode().decode("latin-1"), []).append((rule, re.compile(rb"(?<= )(?:" + rule.pattern.encode() + rb")(?= )")))
+    automaton = ahocorasick.Automaton()
+    for i, keyword in enumerate(gated):
+        automaton.add_word(keyword, i)
+    automaton.make_automaton()
+    return automaton, [*gated.values()]
 
 
 class Found(NamedTuple):
@@ -418,12 +424,12 @@ def detections(words: bytes) -> list[Found]:
     Rules whose keyword the text has are tried; a detection within another one of smaller or equal priority is suppressed. What a denial covers
     isn't detected, nor is the denial itself.
     """
+    automaton, gated = _ready()
     found = []
-    for keyword, some in _ready().items():
-        if keyword in words:
-            for rule, pattern in some:
-                own = "own" if pattern.groupindex else 0
-                found += [Found(rule.label, *m.span(own), rule.priority, rule.confidence) for m in pattern.finditer(words)]
+    for i in sorted({i for _, i in automaton.iter(words.decode("latin-1"))}):
+        for rule, pattern in gated[i]:
+            own = "own" if pattern.groupindex else 0
+            found += [Found(rule.label, *m.span(own), rule.priority, rule.confidence) for m in pattern.finditer(words)]
     return [f for f in resolved(found) if f.label]
 
 

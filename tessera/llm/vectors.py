@@ -280,7 +280,7 @@ def _forest(mask: np.ndarray) -> list[tuple[int, int]]:
 def _linked(threshold: float, kind: str):
     def run(t: pa.Table) -> pa.Table:
         node, mult, block = (t.column(c).to_numpy() for c in ("node", "mult", "block"))
-        f, i, j = (t.column(c)[0].as_py() for c in ("filter", "i", "j"))
+        i, j = (t.column(c)[0].as_py() for c in ("i", "j"))
         x = np.frombuffer(b"".join(t.column("vec").to_pylist()), kind).reshape(len(node), -1).astype(float)
         x = x / np.abs(x).max(axis=1, keepdims=True)
         norm = np.sqrt((x * x).sum(axis=1))
@@ -297,11 +297,10 @@ def _linked(threshold: float, kind: str):
         edges = _forest(mask.copy())
         codes = [np.array(c, np.int64) for c in t.column("filters").take(pa.array(at)).to_pylist()]
         low = np.unique(np.concatenate(codes))
-        low = low[low < f]
         if len(low):  # a pair counts in the first of its common filters only
             one = np.zeros((len(at), len(low)), np.float32)
             for r, c in enumerate(codes):
-                one[r, np.searchsorted(low, c[c < f])] = 1
+                one[r, np.searchsorted(low, c)] = 1
             mask = mask & ~(one @ one.T > 0)
         n = mask @ mult
         own = np.flatnonzero(n)
@@ -345,7 +344,9 @@ def near_vectors(rows: DataFrame, threshold: float = 0.9, codewords: int | None
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .select("filter", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "node", "block")
     )
-    found = scratch.save(cells.join(coded, "node").groupBy("filter", "i", "j").applyInArrow(_linked(threshold, kind), "u long, v long, n long"), "links")
+    # of a vector's filters only those before the cell's own are asked for
+    whole = cells.join(coded, "node").withColumn("filters", F.expr("filter(filters, x -> x < filter)"))
+    found = scratch.save(whole.groupBy("filter", "i", "j").applyInArrow(_linked(threshold, kind), "u long, v long, n long"), "links")
     scratch.drop(coded)
     counts = scratch.save(found.where("v is null").groupBy("u").agg(F.sum("n").alias("far")), "counts")
     comp = scratch.save(components(scratch, found.where("v is not null").select("u", "v")), "components")

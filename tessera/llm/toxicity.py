@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import pickle
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -12,10 +14,12 @@ from .words import chunks, word_hashes
 
 #: Labelled documents used for training, in expectation; words that become features; folds; strength of the penalty.
 SAMPLE, FEATURES, FOLDS, PENALTY = 6000, 256, 4, 1.0
+#: Most deviations from the mean that count, so that a text unlike all labelled ones is judged by its words.
+FAR = 4.0
 #: Newton steps of a fit; chi square that a word must reach to become a feature; weight of recall against precision in choosing thresholds.
 STEPS, CHI, BETA = 8, 15.0, 0.5
-#: The categories in the order of the chain: a document of low quality, a toxic one, and one that is both.
-CHAIN = ("low_quality", "toxic", "toxic_low_quality")
+#: The categories in the order of the chain. Labels know one kind of toxicity; whether a document is of low quality is told first.
+CHAIN = ("low_quality", "toxic")
 _UPPER = bytes(1 if 65 <= c <= 90 else 0 for c in range(256))
 _MARKS = bytes(1 if 33 <= c <= 47 or 58 <= c <= 64 or 91 <= c <= 96 or 123 <= c <= 126 else 0 for c in range(256))
 
@@ -75,7 +79,7 @@ class Chain:
 
     def matrix(self, sets: list[np.ndarray], figures: np.ndarray) -> np.ndarray:
         x = np.zeros((len(sets), 4 + len(self.words)))
-        x[:, :4] = (figures - self.mean) / self.scale
+        x[:, :4] = np.clip((figures - self.mean) / self.scale, -FAR, FAR)
         if len(self.words):
             for i, s in enumerate(sets):
                 at = np.searchsorted(self.words, s)
@@ -107,7 +111,7 @@ def fit(sets: list[np.ndarray], figures: np.ndarray, labels: np.ndarray, feature
     """A chain from documents' words, figures and 0/1 labels (a column for each category).
 
     Each later model is trained with out-of-fold probabilities of the earlier ones, as it will meet them: for each fold, models,
-    words included, come from the other folds. Thresholds come from out-of-fold probabilities too.
+    words and scales of the figures included, come from the other folds. Thresholds come from out-of-fold probabilities too.
     """
     n, k = labels.shape
     if n < 2 * folds:
@@ -118,16 +122,15 @@ def fit(sets: list[np.ndarray], figures: np.ndarray, labels: np.ndarray, feature
     def chosen(rows):
         return np.unique(np.concatenate([informative([sets[i] for i in rows], labels[rows, c], own) for c in range(k)]))
 
-    mean, scale = figures.mean(axis=0), figures.std(axis=0) + 1e-6
-    parts = []
-    for f in range(folds):
-        part = Chain(chosen(np.flatnonzero(fold != f)), mean, scale)
-        parts.append((part, part.matrix(sets, figures)))
-    full = Chain(chosen(np.arange(n)), mean, scale)
+    def begun(rows):
+        return Chain(chosen(rows), figures[rows].mean(axis=0), figures[rows].std(axis=0) + 1e-6)
+
+    parts = [begun(np.flatnonzero(fold != f)).matrix(sets, figures) for f in range(folds)]
+    full = begun(np.arange(n))
     x, seen = full.matrix(sets, figures), np.zeros((n, 0))
     for c in range(k):
         p = np.zeros(n)
-        for f, (_, xf) in enumerate(parts):
+        for f, xf in enumerate(parts):
             with_seen = np.hstack([xf, seen, np.ones((n, 1))])
             w = logistic(with_seen[fold != f], labels[fold != f, c])
             p[fold == f] = sigmoid(with_seen[fold == f] @ w)
@@ -146,9 +149,21 @@ def _features(batches):
         yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("quality"), batch.column("toxic"), pa.array(sets, pa.binary()), pa.array(figures, pa.binary())], names=["doc_id", "quality", "toxic", "words", "figures"])
 
 
+def _fitted(batches):
+    """One row: the chain of all rows, which are a bounded sample."""
+    rows = sorted(r for batch in batches for r in zip(*(c.to_pylist() for c in batch.columns), strict=True))
+    chain = None
+    if rows:
+        _, quality, toxic, words, figures = zip(*rows, strict=True)
+        labels = np.stack([np.array(quality) <= 0, np.array(toxic) > 0], axis=1).astype(float)
+        chain = fit([np.frombuffer(b, np.uint64) for b in words], np.array([np.frombuffer(b, float) for b in figures]), labels)
+    yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(chain)], pa.binary())], names=["chain"])
+
+
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Chain | None:
     """A chain from about `sample` labelled documents, picked by a hash of doc_id among all with both labels. A document labelled
-    more than once takes its lowest quality and highest toxicity. None if there is too little to learn from."""
+    more than once takes its lowest quality and highest toxicity. The picked ones' words meet in one task, which fits the models. None if there is
+    too little to learn from."""
     labels = labels.where("quality is not null and toxic is not null").groupBy("doc_id").agg(F.min("quality").cast("int").alias("quality"), F.max("toxic").cast("int").alias("toxic"))
     n = labels.count()
     if not n:
@@ -156,13 +171,8 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Chain | N
     picked = labels.where(F.pmod(F.xxhash64("doc_id", F.lit("toxicity")), F.lit(1 << 30)) < min(1.0, sample / n) * (1 << 30))
     rows = docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id")  # about `sample` rows of 16 bytes
     fields = "doc_id long, quality int, toxic int, words binary, figures binary"
-    got = rows.select("doc_id", "quality", "toxic", "text").mapInArrow(_features, fields).toArrow().sort_by([("doc_id", "ascending"), ("words", "ascending")])
-    if not got.num_rows:
-        return None
-    low = 1 - (got.column("quality").to_numpy() > 0).astype(float)
-    toxic = (got.column("toxic").to_numpy() > 0).astype(float)
-    sets = [np.frombuffer(b, np.uint64) for b in got.column("words").to_pylist()]
-    return fit(sets, np.array([np.frombuffer(b, float) for b in got.column("figures").to_pylist()]), np.stack([low, toxic, low * toxic], axis=1))
+    got = rows.select("doc_id", "quality", "toxic", "text").mapInArrow(_features, fields)
+    return pickle.loads(got.repartition(1).mapInArrow(_fitted, "chain binary").first()[0])
 
 
 def _predictor(sent):

@@ -39,6 +39,37 @@ def test_no_letter_no_language(spark):
     assert langid.train(df.where("false")) is None and langid.predict(df.where("false"), None).count() == 0
 
 
+def test_rejection(spark, sf):
+    """No text of the corpus goes, most of what is in no language does."""
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    model = langid.train(docs.where(~langid.held_out()))
+    texts = [r["text"] for r in docs.where(langid.held_out()).collect()]
+    gone = model.predict([t.encode() for t in texts if any(map(str.isalpha, t))])[2]
+    assert gone.mean() <= 0.005
+    rng = random.Random(5)
+    noise = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz    ") for _ in range(200)) for _ in range(200)]
+    shuffled = ["".join(rng.sample(t[:200], len(t[:200]))) for t in texts if len(t) >= 200]
+    for kind, least, some in (("random letters", 0.9, noise), ("shuffled", 0.4, shuffled)):
+        best, score, rejected = model.predict([t.encode() for t in some])
+        print(f"{kind}: {rejected.mean():.2f} rejected, mean score {score.mean():.2f}")
+        assert rejected.mean() >= least
+    foreign = ["Кошка сидит на столе и смотрит в окно на улицу", "猫が机の上に座って窓の外を見ている", "Ang pusa ay nasa mesa at tumitingin sa labas", "xq zv kjw qqx zzv wkj pfft mnk"]
+    assert model.predict([t.encode() for t in foreign])[2].sum() >= 3
+    got = langid.predict(spark.createDataFrame([(1, noise[0], 1), (2, None, 1), (3, texts[0], 1), (3, texts[0], 1), (None, texts[1], 1)], "doc_id long, text string, rejected int"), model).collect()
+    assert sorted((str(r["doc_id"]), r["rejected"]) for r in got) == [("1", True), ("2", True), ("3", False), ("3", False), ("None", False)]
+
+
+def test_very_long_texts(spark):
+    long = "hello there my friend " * 100_000
+    df = spark.createDataFrame([(1, long, "en"), (2, "bonjour mes amis de la rue", "fr"), (3, "hello my dear friend", "en")], "doc_id long, text string, lang string")
+    assert {r["doc_id"]: r["lang_pred"] for r in langid.predict(df, langid.train(df)).collect()}[1] == "en"
+    d = "/root/testdata/sf0.1"
+    chain = toxicity.train(spark.read.parquet(f"{d}/documents.parquet"), spark.read.parquet(f"{d}/labels.parquet"))
+    texts = [(1, long), (1, long), (2, long + "worthless moron idiot " * 1000), (2, long + "worthless moron idiot " * 1000), (None, "worthless moron idiot")]
+    got = toxicity.score(spark.createDataFrame(texts, "doc_id long, text string"), chain).collect()
+    assert len(got) == 5 and got[0] == got[1] and got[2] == got[3] and got[2]["p_toxic"] > got[0]["p_toxic"]
+
+
 def test_subwords_do_not_cross_texts():
     both, bounds = langid.buckets([b"abc", b"xyz"])
     one, _ = langid.buckets([b"abc"])

@@ -18,7 +18,7 @@ SAMPLE, BUCKETS, DIM, EPOCHS = 400, 1 << 15, 16, 8
 GRAMS = (2, 3, 4)
 #: Rejection: a text goes whose lead of the best language over the second is under MARGIN of what all but REJECT of the rightly labelled whole
 #: calibration texts have.
-REJECT, MARGIN = 0.001, 0.5
+REJECT, MARGIN = 0.01, 0.25
 #: What a row of the sample is: a whole text, a piece of one, a piece whose characters are shuffled.
 WHOLE, PIECE, JUNK = 0, 1, 2
 #: ASCII other than letters becomes a space, A-Z becomes a-z.

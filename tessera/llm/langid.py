@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .runtime import prepare, table
-from .words import chunks
+from .words import PIECE, chunks
 
 #: Documents of each language used for training, in expectation; buckets of the subword hash; size of an embedding.
 SAMPLE, BUCKETS, DIM, EPOCHS = 400, 1 << 15, 16, 8
@@ -79,6 +79,18 @@ def _sampled(batches):
         yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.string()), pa.array(out[1], pa.binary()), pa.array(out[2], pa.binary()), pa.array(out[3], pa.int32())], names=["lang", "idx", "share", "kind"])
 
 
+def _in_pieces(texts: list[bytes]):
+    """(numbers of texts, pieces): short texts whole and together, each longer one piece by piece, cut behind spaces, so that memory is bounded."""
+    short = [i for i, t in enumerate(texts) if len(t) <= PIECE]
+    yield short, [texts[i] for i in short]
+    for i, t in enumerate(texts):
+        at = 0
+        while len(t) > PIECE and at < len(t):
+            end = t.find(b" ", at + PIECE) + 1 or len(t)
+            yield [i], [t[at:end]]
+            at = end
+
+
 class Model:
     """table: each bucket's contribution to the languages' logits; a text's logits are their mean plus bias, times scale. reject: the least
     lead of the best language's logit over the second's."""
@@ -88,12 +100,14 @@ class Model:
 
     def predict(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """The best language of each text, its probability, and whether the text is rejected."""
-        b, bounds = buckets(texts)
-        n = np.maximum(np.diff(bounds), 1)
-        logits = np.empty((len(texts), len(self.langs)))
-        for c in range(len(self.langs)):
-            sums = np.concatenate([[0], np.cumsum(self.table[b, c], dtype=np.float64)])
-            logits[:, c] = (sums[bounds[1:]] - sums[bounds[:-1]]) / n + self.bias[c]
+        sums, n = np.zeros((len(texts), len(self.langs))), np.zeros(len(texts))
+        for at, pieces in _in_pieces(texts):
+            b, bounds = buckets(pieces)
+            np.add.at(n, at, np.diff(bounds))
+            for c in range(len(self.langs)):
+                upto = np.concatenate([[0], np.cumsum(self.table[b, c], dtype=np.float64)])
+                np.add.at(sums[:, c], at, upto[bounds[1:]] - upto[bounds[:-1]])
+        logits = sums / np.maximum(n, 1)[:, None] + self.bias
         p = softmax(logits * self.scale)
         return p.argmax(axis=1), p.max(axis=1), lead(logits * self.scale) < self.reject
 

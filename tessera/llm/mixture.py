@@ -69,9 +69,10 @@ def mix(docs: DataFrame, labels: DataFrame | None = None, weights=WEIGHTS, share
         rows = rows.join(labels.where("quality is not null").groupBy("doc_id").agg(F.max("quality").alias("quality")), "doc_id", "left")
         weight = F.when(F.col("quality") >= 1, GOOD).when(F.col("quality") < 1, BAD).otherwise(UNKNOWN)
     u = (F.conv(F.substring(F.md5(F.concat(F.lit("mix:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))), 1, 12), 16, 10).cast("double") + 0.5) / float(1 << 48)
-    rows = scratch.save(rows.select("doc_id", "source", "size", (-F.log(u) / weight).alias("key")), "sizes")
+    sizes = scratch.save(rows.select("doc_id", "source", "size", (-F.log(u) / weight).alias("key")), "sizes")
     order = (F.col("source").asc_nulls_last(), F.col("key").asc(), F.col("doc_id").asc(), F.col("size").asc())
-    rows = ranked(scratch, rows, "ordered", *order)
+    rows = ranked(scratch, sizes, "ordered", *order)
+    scratch.drop(sizes)
     sums = scratch.save(rows.groupBy("source", "part").agg(F.sum("size").alias("words")), "sums")
     goals = targets(scratch, sums.groupBy("source").agg(F.sum("words").alias("source_size")), weights, share, most)
     sums = sums.withColumn("before", F.expr("coalesce(sum(words) over (partition by source order by part rows between unbounded preceding and 1 preceding), 0L)"))
@@ -91,7 +92,8 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix takes it. Rows that share a doc_id are all taken as often as the one taken most."""
+    """Each document as often as the mix takes it. Rows that share a doc_id, or have none, are all taken as often as the one of them taken most; null and empty
+    texts are never taken; an empty table gives an empty one."""
     copies = mix(docs, table(spark, sf_dir, "labels")).groupBy(F.col("doc_id").alias("__doc_id")).agg(F.max("copies").alias("__copies")).where("__copies > 0")
     out = docs.join(copies, F.col("doc_id").eqNullSafe(F.col("__doc_id"))).withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__copies"))))
     return out.select(*docs.columns)

@@ -176,5 +176,5 @@ def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of all documents and their places in sequences."""
+    """Pieces of all documents and their places in sequences, as pack_documents() says, rows without a doc_id and repeated ones included."""
     return pack_documents(docs, tokenizer_path())

@@ -13,7 +13,7 @@ BATCH_ROWS, BATCH_BYTES = 500, 4 << 20
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Set the bounds of an Arrow batch, which change no result, and let local Python workers find this package
+    """Set the bounds of an Arrow batch for the session from here on, which change no result, and let local Python workers find this package
     (on a cluster, ship it with --py-files)."""
     home, known = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment.get("PYTHONPATH", "")
     if home not in known.split(":"):
@@ -24,8 +24,10 @@ def prepare(spark: SparkSession) -> SparkSession:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder (spark.checkpoint.dir); where that is unset, as in tests, one in the warehouse."""
+    """The cluster's shared folder (spark.checkpoint.dir); where that is unset, in local mode as in tests, one in the warehouse."""
     at = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not at and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     return at or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_shared"
 
 
@@ -80,8 +82,3 @@ class Scratch:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
-def clash_free(df: DataFrame, needed: list[str]) -> DataFrame:
-    """Only the needed columns, so that extra columns can't clash with names that an operator adds."""
-    return df.select(*needed)

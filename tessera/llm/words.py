@@ -12,7 +12,8 @@ FOLD = bytes(32 if c in (9, 10, 11, 12, 13, 32) else c + 32 if 65 <= c <= 90 els
 KEEP = bytes(32 if c in (9, 10, 11, 12, 13, 32) else c for c in range(256))
 _P = np.uint64(0x9E3779B97F4A7C15)
 _P_INV = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
-CHUNK = 1 << 18
+#: Bytes of texts that are worked on together, and of a piece of a very long one.
+CHUNK, PIECE = 1 << 18, 1 << 21
 _pow = np.ones(1, np.uint64)
 _inv = np.ones(1, np.uint64)
 
@@ -51,21 +52,29 @@ def chunks(texts: Iterable[str | None], size: int = CHUNK) -> Iterator[list[byte
         yield out
 
 
+def _pieces(data: bytes) -> Iterator[tuple[int, np.ndarray]]:
+    """The bytes in pieces of about PIECE, with where each begins, cut behind a space: words stay whole, however long one is."""
+    at = 0
+    while at < len(data):
+        end = len(data) if len(data) - at <= 2 * PIECE else data.find(b" ", at + PIECE) + 1 or len(data)
+        yield at, np.frombuffer(data, np.uint8, end - at, at)
+        at = end
+
+
 def word_hashes(texts: list[bytes], fold: bytes = FOLD) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Hashes of all words; where each text's words begin in them (one more entry than texts); starts and ends of words
-    in bytes, from the beginning of their own text."""
-    data = np.frombuffer(b" ".join([*texts, b""]).translate(fold), np.uint8)
+    in bytes, from the beginning of their own text. Very long texts go through in pieces, so that memory beyond the results is bounded."""
     lengths = np.fromiter((len(t) + 1 for t in texts), np.int64, len(texts))
     first_byte = np.concatenate([[0], np.cumsum(lengths)])
-    n = len(data)
-    if not n:
-        return np.zeros(0, np.uint64), np.zeros(len(texts) + 1, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
-    inside = data != 32
-    edge = np.flatnonzero(np.diff(inside, prepend=False, append=False))
-    starts, ends = edge[0::2], edge[1::2]
-    pow_, inv = _powers(n + 1)
-    total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(data.astype(np.uint64) * pow_[:n], dtype=np.uint64)])
-    h = mix((total[ends] - total[starts]) * inv[starts] + (ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+    found = [(np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64))]
+    for at, data in _pieces(b" ".join([*texts, b""]).translate(fold)):
+        edge = np.flatnonzero(np.diff(data != 32, prepend=False, append=False))
+        starts, ends = edge[0::2], edge[1::2]
+        pow_, inv = _powers(len(data) + 1)
+        total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(data.astype(np.uint64) * pow_[: len(data)], dtype=np.uint64)])
+        h = mix((total[ends] - total[starts]) * inv[starts] + (ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+        found.append((h, starts + at, ends + at))
+    h, starts, ends = (np.concatenate(x) for x in zip(*found, strict=True)) if len(found) != 2 else found[1]
     bounds = np.searchsorted(starts, first_byte)
     base = np.repeat(first_byte[:-1], np.diff(bounds))
     return h, bounds, starts - base, ends - base

@@ -470,3 +470,69 @@ def test_pipeline_against_its_stages(spark, sf, tmp_path):
     packed = docs.where("piece = 0").toPandas()
     assert sorted(packed.doc_id) == sorted(whole)
     assert all(t is None or re.search(r"\S", t) for _, t in mixed)  # an empty text is never taken
+
+
+def test_words_of_very_long_texts(monkeypatch):
+    from tessera.llm import words as W
+
+    rng = random.Random(3)
+    texts = [" ".join(words(rng, n)).encode() + b" " * rng.randrange(3) for n in (0, 3000, 1, 0, 700)] + [b"x" * 9000, "é\t ".encode() * 500]
+    whole = W.word_hashes(texts)
+    monkeypatch.setattr(W, "PIECE", 128)
+    assert all((a == b).all() for a, b in zip(whole, W.word_hashes(texts), strict=True))
+
+
+def test_language_of_a_text_in_pieces(monkeypatch):
+    rng = np.random.default_rng(2)
+    model = langid.Model(["a", "b"], rng.standard_normal((langid.BUCKETS, 2)).astype(np.float32), np.array([0.5, 0.0]), 2.0)
+    texts = [b"", b"one two three", b"some words that go on and on " * 400]
+    whole = model.predict(texts)
+    monkeypatch.setattr(langid, "PIECE", 1000)
+    pieces = model.predict(texts)
+    assert (whole[0] == pieces[0]).all() and np.allclose(whole[1], pieces[1], atol=1e-2)
+
+
+def test_mixing_stage(spark):
+    rows = [(1, "a b c", "s", 1), (1, "d e", "s", 2), (None, "f g", "s", 3), (None, "h i", "t", 4), (5, None, "t", 5), (6, "", None, 6), (7, "j k l m", None, 7), (7, "j k l m", None, 7)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, __n int").withColumnRenamed("__n", "taken")
+    spark.createDataFrame([(1, 1)], "doc_id long, quality int").write.mode("overwrite").parquet(f"{spark.conf.get('spark.sql.warehouse.dir')}/mix/labels.parquet")
+    at = f"{spark.conf.get('spark.sql.warehouse.dir')}/mix"
+    out = mixture.stage(spark, df, at)
+    assert out.columns == df.columns
+    copies = mixture.mix(df, spark.read.parquet(f"{at}/labels.parquet")).collect()
+    most = {}
+    for r in copies:
+        most[r["doc_id"]] = max(most.get(r["doc_id"], 0), r["copies"])
+    got = sorted(map(str, out.collect()))
+    assert got == sorted(str(r) for r in df.collect() for _ in range(most[r["doc_id"]])) and not any("text=None" in g or "text=''" in g for g in got)
+    assert mixture.stage(spark, df.where("false"), at).count() == 0
+
+
+def test_packing_stage_of_odd_rows(spark):
+    rows = [(None, "no id", 1), (None, None, 2), (3, "x " * 3000, 3), (3, "x " * 3000, 3), (4, "", 4)]
+    df = spark.createDataFrame([(*r, "l", 0) for r in rows], "doc_id long, text string, n int, length string, rank int")
+    got = packing.stage(spark, df, "").toPandas()
+    plain = Tokenizer.from_file(packing.tokenizer_path())
+    expected = sum(len(plain.encode(t or "", add_special_tokens=False).ids) + 1 for _, t, _ in rows)
+    assert got.length.sum() == expected and got.doc_id.isna().sum() == 2 and (got.length <= 1024).all()
+    seq = got.sort_values(["sequence_id", "offset"])
+    assert ((seq.offset + seq.length).groupby(seq.sequence_id).shift(fill_value=0) == seq.offset).all()
+    assert packing.stage(spark, df.where("false"), "").count() == 0
+
+
+def test_a_shared_folder_is_asked_for_on_a_cluster():
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getConf(self):
+            return Conf()
+
+    class Session:
+        conf, sparkContext = Conf(), Context()
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        runtime.shared_dir(Session())

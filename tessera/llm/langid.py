@@ -20,7 +20,7 @@ GRAMS = (2, 3, 4)
 #: calibration texts have.
 REJECT, MARGIN = 0.01, 0.25
 #: What a row of the sample is: a whole text, a piece of one, a piece whose characters are shuffled.
-WHOLE, PIECE, JUNK = 0, 1, 2
+WHOLE, PART, JUNK = 0, 1, 2
 #: ASCII other than letters becomes a space, A-Z becomes a-z.
 LETTERS = bytes(c if c > 127 or 97 <= c <= 122 else c + 32 if 65 <= c <= 90 else 32 for c in range(256))
 
@@ -69,7 +69,7 @@ def _sampled(batches):
             size = int(rng.integers(10, 200))
             at = int(rng.integers(0, max(1, len(text) - size)))
             shuffled = "".join(text[at + i] for i in rng.permutation(min(size, len(text) - at)))
-            for kind, piece in ((WHOLE, text), (PIECE, text[at : at + size]), (JUNK, shuffled)):
+            for kind, piece in ((WHOLE, text), (PART, text[at : at + size]), (JUNK, shuffled)):
                 b, _ = buckets([piece.encode("utf-8", "surrogatepass")])
                 idx, n = np.unique(b, return_counts=True)
                 out[0].append(langs[i])
@@ -82,7 +82,8 @@ def _sampled(batches):
 def _in_pieces(texts: list[bytes]):
     """(numbers of texts, pieces): short texts whole and together, each longer one piece by piece, cut behind spaces, so that memory is bounded."""
     short = [i for i, t in enumerate(texts) if len(t) <= PIECE]
-    yield short, [texts[i] for i in short]
+    if short:
+        yield short, [texts[i] for i in short]
     for i, t in enumerate(texts):
         at = 0
         while len(t) > PIECE and at < len(t):

@@ -93,7 +93,7 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes it. Rows that share a doc_id, or have none, are all taken as often as the one of them taken most; null and empty
-    texts are never taken; an empty table gives an empty one."""
+    texts come with each complete epoch of their source; an empty table gives an empty one."""
     copies = mix(docs, table(spark, sf_dir, "labels")).groupBy(F.col("doc_id").alias("__doc_id")).agg(F.max("copies").alias("__copies")).where("__copies > 0")
     out = docs.join(copies, F.col("doc_id").eqNullSafe(F.col("__doc_id"))).withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__copies"))))
     return out.select(*docs.columns)

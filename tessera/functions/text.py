@@ -68,19 +68,24 @@ def as_symbols(words: Column, vocabulary: Column) -> Column:
     """Words as one character each, by their place in the vocabulary, so that levenshtein counts words. Code points from U+0100 on but surrogates
     stand for 1,111,806 words; a larger vocabulary raises an error."""
 
-    def character(w: Column) -> Column:
+    def code_point(w: Column) -> Column:
         place = F.array_position(vocabulary, w) + 255
         place = F.when(place >= 0xD800, place + 0x800).otherwise(place)
-        return F.decode(F.unhex(F.lpad(F.hex(place.cast("long")), 8, "0")), "UTF-32")
+        return F.lpad(F.hex(place.cast("long")), 8, "0")
 
-    code = F.array_join(F.transform(words, character), "")
+    code = F.decode(F.unhex(F.array_join(F.transform(words, code_point), "")), "UTF-32")
     return F.when(F.size(vocabulary) > 0x110000 - 0x900, F.raise_error(F.lit("too many different words"))).otherwise(code)
 
 
+def bound(f, *values: Column) -> Column:
+    """f(*values) with each value computed once, also where f names it within a lambda."""
+    one = F.array(F.struct(*[v.alias(f"v{i}") for i, v in enumerate(values)]))
+    return F.get(F.transform(one, lambda s: f(*[s[f"v{i}"] for i in range(len(values))])), 0)
+
+
 def word_errors(a: Column, b: Column) -> Column:
     """Edit distance between two arrays of words."""
-    vocabulary = F.array_distinct(F.concat(a, b))
-    return F.levenshtein(as_symbols(a, vocabulary), as_symbols(b, vocabulary))
+    return bound(lambda x, y, v: F.levenshtein(as_symbols(x, v), as_symbols(y, v)), a, b, F.array_distinct(F.concat(a, b)))
 
 
 def error_rate(reference: Column, hypothesis: Column, lang: Column) -> Column:

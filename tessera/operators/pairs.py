@@ -210,7 +210,7 @@ def c09(t: Inputs) -> DataFrame:
     a, b = (last.select("ref_audio", F.col("edit_tag").alias(f"tag_{s}"), F.col("idx").alias(f"{s}_idx")) for s in "ab")
     pairs = a.join(b, "ref_audio").join(F.broadcast(t["tag_pair"]), ["tag_a", "tag_b"])  # six allowed pairs of tags
     # numbered within parts of the references in order, and parts by what the ones before them hold
-    pairs = pairs.withColumn("part", ordered_part(last, "ref_audio"))
+    pairs = pairs.withColumn("part", ordered_part(t["edit"], "ref_audio"))  # cut by the references of all edits, a plain scan
     before = pairs.groupBy("part").agg(F.count("*").alias("n"))
     before = before.select("part", F.coalesce(F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"))  # a row for each part
     own = F.row_number().over(Window.partitionBy("part").orderBy("ref_audio", "tag_a", "tag_b")) - 1

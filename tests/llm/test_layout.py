@@ -290,6 +290,33 @@ def test_passages_composed_of_lines_first_seen_in_other_documents(spark, parts):
     assert all(max(parts) >= 32 or (r["doc_id"] % 10, r["ref_id"] % 10) == (9, 8) for r in got)
 
 
+@pytest.mark.parametrize(("n", "identity", "least"), [(100, 0.9, 0.99), (60, 0.9, 0.97), (60, 0.85, 0.8)])
+def test_changed_copies_of_lines_first_seen_in_other_documents(spark, n, identity, least):
+    rng = random.Random(n)
+    rows, pairs = [], 60
+    for k in range(pairs):
+        own = words(rng, n)
+        copy = list(own)
+        for j in rng.sample(range(n), round(n * (1 - identity))):
+            copy[j] = words(rng, 1)[0] + "x"
+        for j, a in enumerate(range(0, n, 20)):  # each line is too short for a passage
+            rows.append((10 * k + j, words(rng, 30) + own[a : a + 20] + words(rng, 30)))
+        rows += [(10 * k + 8, words(rng, 25) + own + words(rng, 25)), (10 * k + 9, words(rng, 25) + copy + words(rng, 25))]
+    got = passages.shared_passages(spark.createDataFrame([(i, " ".join(w)) for i, w in rows], "doc_id long, text string")).collect()
+    assert all((r["doc_id"] % 10, r["ref_id"]) == (9, r["doc_id"] - 1) and r["identity"] >= passages.IDENTITY for r in got)
+    assert len({r["doc_id"] for r in got}) >= least * pairs
+    assert len({(r["doc_id"], r["start"]) for r in got}) == len(got)
+
+
+def test_two_seeds_of_one_document():
+    rng = random.Random(9)
+    doc = np.sort(np.array([rng.randrange(4) for _ in range(90)]))
+    pos = np.concatenate([np.sort([rng.randrange(300) for _ in range(n)]) for n in np.bincount(doc)])
+    a, b = passages.twos(doc, pos)
+    want = {(i, j) for i in range(90) for j in range(i) if doc[i] == doc[j] and passages.NEAR <= pos[i] - pos[j] <= passages.REACH}
+    assert {(int(y), int(x)) for x, y in zip(a, b, strict=True)} == want and len(a) == len(want)
+
+
 @pytest.mark.parametrize(("identity", "least"), [(0.95, 1), (0.9, 0.99), (0.85, 0.95), (0.8, 0.85)])
 def test_recall_of_forty_words_with_changes(spark, identity, least):
     rng = random.Random(int(100 * identity))

@@ -2,7 +2,9 @@
 
 import random
 import re
+import time
 import zlib
+from pathlib import Path
 
 import numpy as np
 import pandas as pd
@@ -563,3 +565,17 @@ def test_a_shared_folder_is_asked_for_on_a_cluster():
 
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         runtime.shared_dir(Session())
+
+
+def test_shuffle_files_of_intermediate_tables_go(spark):
+    before = spark.conf.get(runtime.CLEANUP)
+    folders = [Path(x) for x in spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().localDirsString()]
+    files = lambda: {f for x in folders for f in x.rglob("shuffle_*.data")}
+    old = files()
+    df = spark.range(20_000).repartition(3, "id")
+    saved = runtime.Scratch(spark).save(df, "x")
+    for _ in range(50):  # they are deleted behind the query
+        if not files() - old:
+            break
+        time.sleep(0.1)
+    assert not files() - old and saved.count() == df.count() == 20_000 and spark.conf.get(runtime.CLEANUP) == before

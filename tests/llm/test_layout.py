@@ -310,6 +310,50 @@ def test_changed_copies_of_lines_first_seen_in_other_documents(spark, n, identit
     assert len({(r["doc_id"], r["start"]) for r in got}) == len(got)
 
 
+def test_pairs_of_a_frequent_line_grow_with_its_documents(spark, monkeypatch):
+    """A line of 24 words in many documents; in some pairs of them the words around it are changed copies too."""
+    compared, save = [], passages.Scratch.save
+
+    def noted(self, df, name):
+        out = save(self, df, name)
+        if name == "rest-chains":
+            compared.append(out.count())
+        return out
+
+    monkeypatch.setattr(passages.Scratch, "save", noted)
+    for n in (100, 200):
+        rng = random.Random(n)
+        line, rows, planted = words(rng, 24), [], 20
+        for i in range(n):
+            rows.append((i, words(rng, 60) + line + words(rng, 60)))
+        for k in range(planted):
+            before, behind = words(rng, 18), words(rng, 18)
+            for i in (1000 + 2 * k, 1001 + 2 * k):
+                around = [w if rng.random() > 0.06 else "x" + w for w in before + behind]
+                rows.append((i, words(rng, 30) + around[:18] + line + around[18:] + words(rng, 30)))
+        got = passages.shared_passages(spark.createDataFrame([(i, " ".join(w)) for i, w in rows], "doc_id long, text string")).collect()
+        assert {(r["doc_id"], r["ref_id"]) for r in got} == {(1001 + 2 * k, 1000 + 2 * k) for k in range(planted)}
+    # all of 140 and 240 documents with each other are 9730 and 28680 pairs
+    assert compared[0] < 2000 and compared[1] < 4000
+
+
+def test_rarest_words_meet_in_windows_that_agree():
+    rng = np.random.default_rng(3)
+    first, end = 30, 54
+    line = rng.integers(0, 30, 24).astype(np.int32)
+    for _ in range(200):
+        a, b = (np.concatenate([rng.integers(0, 3000, 30), line, rng.integers(0, 3000, 30)]).astype(np.int32) for _ in range(2))
+        start = int(rng.integers(14, 31))
+        b[start : start + 40] = a[start : start + 40]
+        changed = rng.choice(np.r_[start:30, 54 : max(start + 40, 54)], 8, replace=False)
+        b[changed] = rng.integers(3000, 6000, 8)
+        common = {int(w): 100 for w in line}
+        x, y = (passages.rarest(w, first, end, common) for w in (a, b))
+        assert set(zip(x.tolist(), a[x].tolist())) & set(zip(y.tolist(), b[y].tolist()))
+    x = passages.rarest(a, first, end, common)
+    assert not set(x.tolist()) & set(range(first, end))  # the line's own words, where enough others stand around it
+
+
 def test_two_seeds_of_one_document():
     rng = random.Random(9)
     doc = np.sort(np.array([rng.randrange(4) for _ in range(90)]))

@@ -8,7 +8,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions import text as X
-from ..operators.relational import first_wins
+from ..operators.relational import first_wins, numbered
 from ..registry import Inputs, query, sql_query
 
 
@@ -169,6 +169,15 @@ def without_private(df: DataFrame) -> DataFrame:
     return df.drop(*[c for c in df.columns if c.startswith("_")])
 
 
+def file_ordinal(df: DataFrame, key: str, name: str = "ordinal") -> DataFrame:
+    """df with gap-free numbers from 0 in the order of the manifest's integer key, null last. A row's place in its file would start anew in each file of a
+    table of several."""
+    some = numbered(df.where(F.col(key).isNotNull()), key, name, sparse=True)
+    count = F.broadcast(df.agg(F.count(key).alias("_some")))  # one row
+    rest = numbered(df.where(F.col(key).isNull()).withColumn("_at", F.monotonically_increasing_id()), "_at", name, sparse=True)
+    return some.unionByName(rest.join(count).withColumn(name, F.col(name) + F.col("_some")).drop("_at", "_some"))
+
+
 def _place(spark: SparkSession, name: str) -> str:
     root = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_shared"
     return f"{root.rstrip('/')}/tessera-files-{uuid.uuid4().hex}/{name}"
@@ -191,7 +200,7 @@ def s02(t: Inputs) -> DataFrame:
 
 @query("s03_file_ordinal", "SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS ordinal FROM {documents}")
 def s03(t: Inputs) -> DataFrame:
-    return t.spark.read.parquet(f"{t.sf_dir}/documents.parquet").select("doc_id", F.col("_metadata.row_index").alias("ordinal"))
+    return file_ordinal(t["documents"].select("doc_id"), "doc_id")
 
 
 @query("s04_jsonl_sink_keeps_nulls", "SELECT doc_id, CASE WHEN quality = 1 THEN quality END AS quality, true AS written FROM {labels}")

@@ -186,7 +186,8 @@ def v05(t):
     e = t["embeddings"].select("vec_id", F.expr("vec_id div 8").alias("item"), F.col("embedding").cast("array<double>").alias("x"))
     pairs = e.alias("a").join(e.alias("b"), F.expr("a.item = b.item and a.vec_id <> b.vec_id"))
     means = pairs.groupBy(F.col("a.item").alias("item"), F.col("a.vec_id").alias("i")).agg(F.round(F.avg(num.cosine(F.col("a.x"), F.col("b.x"))), 6).alias("mean"))
-    return means.groupBy("item").agg(F.max_by("i", "mean").alias("medoid"), F.count_if(F.col("mean") < 0).alias("outliers"))
+    best = F.when(F.col("mean").isNotNull(), F.struct("mean", -F.col("i")))  # the SQL leaves open which of equal means is taken; here it is the least vec_id
+    return means.groupBy("item").agg(F.max_by("i", best).alias("medoid"), F.count_if(F.col("mean") < 0).alias("outliers"))
 
 
 sql_query(

@@ -19,3 +19,10 @@ def test_ordinal_over_several_files(spark, tmp_path):
         spark.createDataFrame([(i, "x") for i in ids], "doc_id long, text string").coalesce(1).write.mode("append").parquet(at)
     got = {(r["doc_id"], r["ordinal"]) for r in registry.QUERIES["s03_file_ordinal"](spark, str(tmp_path)).collect()}
     assert got == {(-5, 0), (3, 1), (7, 2), (8, 3), (40, 4), (10**12, 5), (None, 6)}
+
+
+def test_medoid_of_equal_means(spark, tmp_path):
+    rows = [(i, [1.0, float(i % 2)]) for i in reversed(range(32))]
+    spark.createDataFrame(rows, "vec_id long, embedding array<float>").repartition(5).write.parquet(f"{tmp_path}/embeddings.parquet")
+    got = {r["item"]: r["medoid"] for r in registry.QUERIES["v05_medoid"](spark, str(tmp_path)).collect()}
+    assert got == {0: 0, 1: 8, 2: 16, 3: 24}

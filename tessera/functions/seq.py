@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
+from .text import bound
+
 
 def max_run(tokens: Column) -> Column:
     """Length of the longest run of equal tokens; 0 without tokens."""
@@ -29,10 +31,14 @@ def _repeat_of(tokens: Column, n: int) -> Column:
 
 
 def max_ngram_repeat(tokens: Column, most: int = 4) -> Column:
-    """Most repeats in a row of an n-gram for n = 2 to min(most, max(2, size div 2)); 1 with under 4 tokens."""
-    size = F.size(tokens)
-    parts = [F.when(F.least(F.lit(most), F.greatest(F.lit(2), F.floor(size / 2))) >= n, _repeat_of(tokens, n)).otherwise(1) for n in range(2, most + 1)]
-    return F.when(size < 4, 1).otherwise(F.greatest(*parts))
+    """Most repeats in a row of an n-gram for n = 2 to min(most, max(2, size div 2)); 1 with under 4 tokens. tokens is computed once, not for every token."""
+
+    def of(tokens: Column) -> Column:
+        size = F.size(tokens)
+        parts = [F.when(F.least(F.lit(most), F.greatest(F.lit(2), F.floor(size / 2))) >= n, _repeat_of(tokens, n)).otherwise(1) for n in range(2, most + 1)]
+        return F.when(size < 4, 1).otherwise(F.greatest(*parts))
+
+    return bound(of, tokens)
 
 
 def frames(samples: Column, size: int, hop: int) -> Column:

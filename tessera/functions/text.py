@@ -90,15 +90,18 @@ def word_errors(a: Column, b: Column) -> Column:
 
 def error_rate(reference: Column, hypothesis: Column, lang: Column) -> Column:
     """Edits for a character (zh) or word of the reference; 0 if both are empty, 1 if only the reference is."""
-    a, b = tokens(reference, lang), tokens(hypothesis, lang)
+    return bound(_rate, tokens(reference, lang), tokens(hypothesis, lang), lang)
+
+
+def _rate(a: Column, b: Column, lang: Column) -> Column:
     edits = F.when(lang == "zh", F.levenshtein(F.array_join(a, ""), F.array_join(b, ""))).otherwise(word_errors(a, b))
     return F.when((F.size(a) == 0) & (F.size(b) == 0), 0.0).when(F.size(a) == 0, 1.0).otherwise(edits / F.size(a))
 
 
 def match_score(reference: Column, hypothesis: Column, lang: Column) -> Column:
     """1 - error rate, at least 0; null if either side has no token."""
-    some = (F.size(tokens(reference, lang)) > 0) & (F.size(tokens(hypothesis, lang)) > 0)
-    return F.when(some, F.greatest(F.lit(0.0), 1 - error_rate(reference, hypothesis, lang)))
+    some = lambda a, b, lang: F.when((F.size(a) > 0) & (F.size(b) > 0), F.greatest(F.lit(0.0), 1 - _rate(a, b, lang)))
+    return bound(some, tokens(reference, lang), tokens(hypothesis, lang), lang)
 
 
 def slug(c: Column, default: str = "item") -> Column:

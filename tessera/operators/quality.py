@@ -122,7 +122,7 @@ def judge(df: DataFrame, pair_name: str, gate: Gate = Gate()) -> DataFrame:
         added[f"{s}_asr_score"] = X.match_score(text[s], g(s, "asr_text", "string"), lang[s])
         added[f"{s}_units_per_sec"] = F.when(F.coalesce(g(s, "load_ok", "boolean"), F.lit(False)) & (g(s, "duration_sec") > 0), X.text_units(text[s], lang[s]) / g(s, "duration_sec"))
         expected, heard = X.tokens(text[s], lang[s]), X.tokens(g(s, "asr_text", "string"), lang[s])
-        added[f"_{s}_runs"] = F.struct(seq.max_run(expected).alias("e"), seq.max_run(heard).alias("h"), seq.max_ngram_repeat(expected).alias("el"), seq.max_ngram_repeat(heard).alias("hl"), (F.size(heard) > 0).alias("some"))
+        added[f"_{s}_runs"] = X.bound(lambda e, h: F.struct(seq.max_run(e).alias("e"), seq.max_run(h).alias("h"), seq.max_ngram_repeat(e).alias("el"), seq.max_ngram_repeat(h).alias("hl"), (F.size(h) > 0).alias("some")), expected, heard)
     floor = gate.sim_floor(pair_name)
     added["speaker_sim"] = resolved_similarity(df, pair_name)
     rows = df.withColumns(added)

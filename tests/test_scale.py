@@ -26,3 +26,10 @@ def test_medoid_of_equal_means(spark, tmp_path):
     spark.createDataFrame(rows, "vec_id long, embedding array<float>").repartition(5).write.parquet(f"{tmp_path}/embeddings.parquet")
     got = {r["item"]: r["medoid"] for r in registry.QUERIES["v05_medoid"](spark, str(tmp_path)).collect()}
     assert got == {0: 0, 1: 8, 2: 16, 3: 24}
+def test_tokens_are_made_once(spark):
+    df = spark.createDataFrame([("a b a b c",), ("",), (None,)], "t string")
+    tokens = X.tokens(F.col("t"), F.lit("en"))
+    got = df.select(seq.max_ngram_repeat(tokens).alias("n"))
+    assert _plan(got).count("split(") == 1 and [r["n"] for r in got.collect()] == [2, 1, 1]
+    score = df.select(X.match_score(F.col("t"), F.lit("a b a x c"), F.lit("en")).alias("n"))
+    assert _plan(score).count("lower(") <= 1 and [r["n"] for r in score.collect()] == [0.8, None, None]

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
+from .text import bound
+
 
 def safe_ratio(a: Column, b: Column) -> Column:
     """a / b; null if b is (nearly) 0 or the result isn't finite."""
@@ -45,18 +47,18 @@ def array_pearson(a: Column, b: Column) -> Column:
     """Correlation of two arrays over the places where both are finite; null with under 3 of them or a (nearly) constant side."""
     both = F.filter(F.arrays_zip(a.alias("a"), b.alias("b")), lambda z: F.abs(z["a"]) < float("inf"))
     both = F.filter(both, lambda z: F.abs(z["b"]) < float("inf"))
-    n = F.size(both)
 
-    def mean(f) -> Column:
-        return F.aggregate(both, F.lit(0.0), lambda s, z: s + f(z)) / n
+    def of(both: Column) -> Column:
+        def mean(f) -> Column:
+            return F.aggregate(both, F.lit(0.0), lambda s, z: s + f(z)) / F.size(both)
+
+        def spread(ma: Column, mb: Column) -> Column:
+            moments = mean(lambda z: (z["a"] - ma) * (z["a"] - ma)), mean(lambda z: (z["b"] - mb) * (z["b"] - mb)), mean(lambda z: (z["a"] - ma) * (z["b"] - mb))
+            return bound(lambda va, vb, c: F.when((F.sqrt(va) >= 1e-8) & (F.sqrt(vb) >= 1e-8), c / F.sqrt(va * vb)), *moments)
 
-    def of(means: Column) -> Column:
-        ma, mb = means["a"], means["b"]
-        va, vb = mean(lambda z: (z["a"] - ma) * (z["a"] - ma)), mean(lambda z: (z["b"] - mb) * (z["b"] - mb))
-        return F.when((F.sqrt(va) >= 1e-8) & (F.sqrt(vb) >= 1e-8), mean(lambda z: (z["a"] - ma) * (z["b"] - mb)) / F.sqrt(va * vb))
+        return F.when(F.size(both) >= 3, bound(spread, mean(lambda z: z["a"]), mean(lambda z: z["b"])))
 
-    means = F.struct(mean(lambda z: z["a"]).alias("a"), mean(lambda z: z["b"]).alias("b"))
-    return F.when(n >= 3, of(means))
+    return bound(of, both)  # each value once: a mean named within a lambda would be computed for every element
 
 
 def speed_direction(ratio: Column, tag: Column, rules: dict[str, tuple[str, float]]) -> Column:

@@ -33,3 +33,9 @@ def test_tokens_are_made_once(spark):
     assert _plan(got).count("split(") == 1 and [r["n"] for r in got.collect()] == [2, 1, 1]
     score = df.select(X.match_score(F.col("t"), F.lit("a b a x c"), F.lit("en")).alias("n"))
     assert _plan(score).count("lower(") <= 1 and [r["n"] for r in score.collect()] == [0.8, None, None]
+
+
+def test_correlation_takes_each_mean_once(spark):
+    df = spark.createDataFrame([([1.0, 2.0, 4.0, None], [2.0, 4.0, 8.0, 1.0]), ([1.0, 1.0, 1.0], [1.0, 2.0, 3.0]), ([1.0], [2.0]), (None, [1.0])], "a array<double>, b array<double>")
+    got = df.select(F.round(num.array_pearson(F.col("a"), F.col("b")), 9).alias("r"))
+    assert _plan(got).count("arrays_zip(") == 1 and [r["r"] for r in got.collect()] == [1.0, None, None, None]

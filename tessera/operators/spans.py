@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import re
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions import text as X
@@ -49,49 +53,78 @@ def aligned(rows: DataFrame, words: tuple[str, ...] = (), threshold_ms: int = 10
     return out.drop("_own").withColumn("pauses", pauses(F.col("words"), threshold_ms))
 
 
-def _matches(flat: DataFrame, regex: str) -> DataFrame:
-    """(audio_id, span, a, b): where the pattern's matches begin and end in the text, in order. It must not match the empty string."""
-    whole = f"(?s)(.*?)({regex})"
-    parts = F.arrays_zip(F.regexp_extract_all("flat", F.lit(whole), F.lit(1)).alias("p"), F.regexp_extract_all("flat", F.lit(whole), F.lit(2)).alias("m"))
-    rows = flat.select("audio_id", F.posexplode(parts).alias("span", "x")).select("audio_id", "span", F.length("x.p").alias("p"), F.length("x.m").alias("m"))
-    upto = F.sum(F.col("p") + F.col("m")).over(Window.partitionBy("audio_id").orderBy("span"))
-    return rows.select("audio_id", "span", (upto - F.col("m")).alias("a"), upto.alias("b"))
+def _any_of(words: list[str | None]) -> str:
+    """A pattern of all texts that are, without punctuation, one of the words without theirs; empty ones match nothing. One search for a text, without making its
+    clean form."""
+    spaces = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"  # what \\s is in Java with (?U)
+    clean = {re.sub(f"[{X.PUNCTUATION.replace(chr(92) + 's', spaces)}]+", "", w or "") for w in words} - {""}
+    between = f"[{X.PUNCTUATION}]*"
+    one = lambda w: between.join(f"\\x{{{ord(c):x}}}" for c in w)
+    return rf"(?U)\A{between}(?:{'|'.join(map(one, sorted(clean)))}){between}\z" if clean else "(?!)"
+
+
+def _touched(words: Column, before: Column, matched: Column) -> Column:
+    """For each match the first word that it touches and the one behind the last, in one array: lengths of words, of what stands before each match since the
+    one before, and of matches; null without matches. Both ends come from a search in running sums, so a row takes time in proportion to its words and matches."""
+
+    @F.pandas_udf("array<int>")
+    def run(words: pd.Series, before: pd.Series, matched: pd.Series) -> pd.Series:
+        out = []
+        for n, p, m in zip(words, before, matched, strict=True):
+            if m is None:
+                out.append(None)
+                continue
+            n, p, m = (np.asarray(x, np.int64) for x in (n, p, m))
+            upto, end = np.cumsum(n), np.cumsum(p[: len(m)] + m)
+            bounds = np.stack([np.searchsorted(upto, end - m, side="right"), np.searchsorted(upto - n, end)], axis=1)
+            out.append(bounds.ravel().astype(np.int32))
+        return pd.Series(out, dtype=object)
+
+    return run(words, before, matched)
 
 
 def select_spans(alignments: DataFrame, mode: str, **params) -> DataFrame:
     """(audio_id, span, start_ms, end_ms, anchor_words, anchor_word_indices) of alignments (audio_id, words array<struct<text, start_ms, end_ms>>), spans in order.
 
     manual_span: the given start_ms and end_ms for every audio; anchor_word: the first word equal to anchor_word; filler_words: every word of
-    filler_word_list; regex: the words that each match of `regex` in the joined words touches. Words are compared without punctuation.
+    filler_word_list; regex: the words that each match of `regex`, which must not match the empty string, in the joined words touches. Words are compared
+    without punctuation. Spans are found within a row; only words that are hit are shuffled, for their numbers where rows share an audio_id. For regex each
+    audio_id has one row.
     """
     if mode == "manual_span":
         bounds = [F.lit(int(params[k])).cast("long").alias(k) for k in ("start_ms", "end_ms")]
         return alignments.select("audio_id", F.lit(0).alias("span"), *bounds, F.array().cast("array<string>").alias("anchor_words"), F.array().cast("array<int>").alias("anchor_word_indices"))
-    words = alignments.select("audio_id", F.posexplode("words").alias("idx", "w")).select("audio_id", "idx", "w.text", "w.start_ms", "w.end_ms")
-    words = words.withColumn("clean", X.unpunctuated(F.col("text")))
     if mode in ("anchor_word", "filler_words"):
         wanted = [params.get("anchor_word")] if mode == "anchor_word" else params.get("filler_word_list", [])
-        hit = words.join(F.broadcast(alignments.sparkSession.createDataFrame([(w,) for w in wanted], "text string").select(X.unpunctuated(F.col("text")).alias("clean")).distinct().where("clean <> ''")), "clean", "left_semi")
-        order = F.row_number().over(Window.partitionBy("audio_id").orderBy("idx")) - 1
-        hit = hit.withColumn("span", order)
+        hits = F.transform("words", lambda w, i: F.when(w["text"].rlike(_any_of(wanted)), F.struct(i.alias("idx"), w["text"].alias("text"), w["start_ms"].alias("start_ms"), w["end_ms"].alias("end_ms"))))
+        hits = F.array_compact(hits)
+        hits = F.slice(hits, 1, 1) if mode == "anchor_word" else hits
+        # explode would have all of it computed once more, for a filter of rows without hits
+        hit = alignments.select("audio_id", F.explode_outer(hits).alias("w")).where("w is not null").select("audio_id", "w.*")
+        hit = hit.withColumn("span", F.row_number().over(Window.partitionBy("audio_id").orderBy("idx")) - 1)
         hit = hit.where("span = 0") if mode == "anchor_word" else hit
-    elif mode == "regex":
-        flat = alignments.select("audio_id", F.array_join(F.transform("words", lambda w: X.unpunctuated(w["text"])), "").alias("flat"))
-        upto = F.sum(F.length("clean")).over(Window.partitionBy("audio_id").orderBy("idx"))
-        words = words.withColumn("upto", upto)
-        touch = (F.col("upto") - F.length("clean") < F.col("b")) & (F.col("upto") > F.col("a"))
-        hit = words.join(_matches(flat, params["regex"]), "audio_id").where(touch)
-    else:
-        raise ValueError(f"unsupported selection mode: {mode}")
-    got = hit.groupBy("audio_id", "span").agg(F.min("start_ms").alias("start_ms"), F.max("end_ms").alias("end_ms"), F.sort_array(F.collect_list(F.struct("idx", "text"))).alias("w"))
-    return got.select("audio_id", "span", "start_ms", "end_ms", F.col("w.text").alias("anchor_words"), F.col("w.idx").alias("anchor_word_indices"))
+        return hit.select("audio_id", "span", "start_ms", "end_ms", F.array("text").alias("anchor_words"), F.array("idx").alias("anchor_word_indices"))
+    if mode == "regex":
+        regex = f"(?s){params['regex']}"
+        clean = F.transform("words", lambda w: F.when(w["text"].rlike("[^A-Za-z0-9]"), X.unpunctuated(w["text"])).otherwise(w["text"]))
+        rows = alignments.withColumn("clean", clean).withColumn("flat", F.array_join("clean", "")).withColumn("found", F.regexp_extract_all("flat", F.lit(regex), F.lit(0)))
+        sizes = lambda c: F.when(F.size("found") > 0, F.transform(c, lambda x: F.length(x)))
+        rows = rows.select("audio_id", "words", _touched(sizes(F.col("clean")), sizes(F.split("flat", regex)), sizes(F.col("found"))).alias("ends"))
+        spans = F.when(F.size("ends") > 0, F.sequence(F.lit(0), F.expr("size(ends) div 2 - 1").cast("int")))
+        rows = rows.select("audio_id", "words", "ends", F.explode_outer(spans).alias("span")).where("span is not null")
+        first = F.get("ends", F.col("span") * 2)
+        rows = rows.select("audio_id", "span", first.alias("first"), F.slice("words", first + 1, F.get("ends", F.col("span") * 2 + 1) - first).alias("w"))
+        indices = F.transform("w", lambda w, i: F.col("first") + i)
+        return rows.select("audio_id", "span", F.array_min("w.start_ms").alias("start_ms"), F.array_max("w.end_ms").alias("end_ms"), F.col("w.text").alias("anchor_words"), indices.alias("anchor_word_indices"))
+    raise ValueError(f"unsupported selection mode: {mode}")
 
 
 def _alignments(t: Inputs) -> DataFrame:
     """Words of documents, 100 ms each."""
-    word = F.struct("pos", F.col("token").alias("text"), (F.col("pos") * 100).cast("long").alias("start_ms"), (F.col("pos") * 100 + 100).cast("long").alias("end_ms"))
-    rows = t["words"].groupBy(F.col("doc_id").alias("audio_id")).agg(F.sort_array(F.collect_list(word)).alias("words"))
-    return rows.withColumn("words", F.transform("words", lambda w: w.dropFields("pos")))
+    tokens = F.regexp_extract_all("text", F.lit(r"([^\x20\x09-\x0D]+)"), F.lit(1))
+    at = lambda i, ms: (i.cast("long") * 100 + ms)
+    words = F.transform(tokens, lambda w, i: F.struct(w.alias("text"), at(i, 0).alias("start_ms"), at(i, 100).alias("end_ms")))
+    return t["documents"].where(F.col("text").rlike(r"[^\x20\x09-\x0D]")).select(F.col("doc_id").alias("audio_id"), words.alias("words"))
 
 
 def _shown(spans: DataFrame) -> DataFrame:
@@ -104,7 +137,7 @@ _CLEAN = f"regexp_replace(token, '[{_QUOTED}]+', '', 'g')"
 
 @query("n01_span_manual", "SELECT DISTINCT doc_id AS audio_id, 0 AS span, 600::BIGINT AS start_ms, 1500::BIGINT AS end_ms, '' AS words, '' AS indices FROM {words}")
 def n01(t: Inputs) -> DataFrame:
-    return _shown(select_spans(_alignments(t), "manual_span", start_ms=600, end_ms=1500))
+    return _shown(select_spans(_alignments(t), "manual_span", start_ms=600, end_ms=1500)).distinct()
 
 
 @query("n02_span_anchor", f"SELECT doc_id AS audio_id, 0 AS span, min(pos) * 100::BIGINT AS start_ms, min(pos) * 100 + 100::BIGINT AS end_ms, arg_min(token, pos) AS words, min(pos)::VARCHAR AS indices FROM {{words}} WHERE {_CLEAN} = 'the' GROUP BY doc_id")

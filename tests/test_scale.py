@@ -39,3 +39,29 @@ def test_correlation_takes_each_mean_once(spark):
     df = spark.createDataFrame([([1.0, 2.0, 4.0, None], [2.0, 4.0, 8.0, 1.0]), ([1.0, 1.0, 1.0], [1.0, 2.0, 3.0]), ([1.0], [2.0]), (None, [1.0])], "a array<double>, b array<double>")
     got = df.select(F.round(num.array_pearson(F.col("a"), F.col("b")), 9).alias("r"))
     assert _plan(got).count("arrays_zip(") == 1 and [r["r"] for r in got.collect()] == [1.0, None, None, None]
+
+
+ROW = "audio_id string, words array<struct<text string, start_ms bigint, end_ms bigint>>"
+
+
+def test_spans_of_a_long_text(spark):
+    words = ["abcdefgh"] * 40_000
+    words[7:9] = ["xan,", "dthey"]
+    rows = spark.createDataFrame([("long", [(w, i, i + 1) for i, w in enumerate(words)]), ("none", [("b", 0, 1)]), ("null", None)], ROW)
+    began = time.time()
+    got = [tuple(r) for r in spans.select_spans(rows, "regex", regex="andthe").collect()]
+    assert got == [("long", 0, 7, 9, ["xan,", "dthey"], [7, 8])] and time.time() - began < 30
+
+
+def test_spans_by_words_in_between_without_letters(spark):
+    rows = spark.createDataFrame([("a", [("one", 0, 1), ("--", 1, 2), ("...", 2, 3), ("two", 3, 4), ("!", 4, 5)])], ROW)
+    got = [tuple(r)[1:] for r in spans.select_spans(rows, "regex", regex="e--t|wo").orderBy("span").collect()]
+    assert got == [(0, 0, 4, ["one", "--", "...", "two"], [0, 1, 2, 3]), (1, 3, 4, ["two"], [3])]
+    got = [tuple(r)[1:] for r in spans.select_spans(rows, "filler_words", filler_word_list=["t.wo", None, "--"]).orderBy("span").collect()]
+    assert got == [(0, 1, 2, ["--"], [1]), (1, 3, 4, ["two"], [3])]
+
+
+def test_spans_shuffle_hits_only(spark, sf):
+    for name in ("n02_span_anchor", "n03_span_filler", "n04_span_regex"):
+        plan = _plan(registry.QUERIES[name](spark, sf))
+        assert "collect_list" not in plan and plan.count("Join") == 0

@@ -623,3 +623,17 @@ def test_shuffle_files_of_intermediate_tables_go(spark):
             break
         time.sleep(0.1)
     assert not files() - old and saved.count() == df.count() == 20_000 and spark.conf.get(runtime.CLEANUP) == before
+
+
+def test_passages_in_parts(spark, monkeypatch):
+    """Pairs that take too much text along at once are taken in parts, with the same result."""
+    rng = random.Random(5)
+    text = lambda n: " ".join(f"w{rng.randrange(10**6)}" for _ in range(n))
+    common = text(60)
+    docs = spark.createDataFrame([(i, f"{text(50)} {common} {text(50)}") for i in range(12)], "doc_id long, text string")
+    names, save = [], passages.Scratch.save
+    monkeypatch.setattr(passages.Scratch, "save", lambda self, df, name: names.append(name) or save(self, df, name))
+    monkeypatch.setattr(passages, "TEXTS", 0.3)
+    got = passages.shared_passages(docs).select("doc_id", "ref_id", "start", "end").collect()
+    assert sorted(map(tuple, got)) == [(i, 0, 50, 110) for i in range(1, 12)]
+    assert names.count("passages") == 4 and names.count("runs") == passages.PARTS
